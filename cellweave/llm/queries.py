@@ -50,9 +50,45 @@ FROM t GROUP BY conv_id
 """
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mix_sizes
+
+    return mix_sizes(table(spark, sf_dir, "documents"))
+
+
+OP7_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         substr(md5('0:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS place FROM documents
+), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         [5, 2, 1][1 + CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS INTEGER)] AS w FROM d GROUP BY source
+), r AS (
+  SELECT *, (sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER before, 0)) / (sum(w) OVER () - coalesce(sum(w) OVER before, 0)) AS level
+  FROM s WINDOW before AS (ORDER BY 3 * source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), t AS (
+  SELECT source, source_size, least(CAST(3 * source_size AS DOUBLE),
+         w * (SELECT min_by(level, 3 * source_size / w) FROM r WHERE 3 * source_size / w >= level)) AS target FROM r
+), p AS (
+  SELECT d.*, source_size, target, CAST(floor(target + 0.5) AS BIGINT) AS goal,
+         CAST(sum(size) OVER (PARTITION BY d.source ORDER BY place, doc_id ROWS UNBOUNDED PRECEDING) AS BIGINT) - size AS before
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target,
+       CAST(size * (goal // greatest(source_size, 1)) + greatest(0, least(size, goal % greatest(source_size, 1) - before)) AS BIGINT) AS taken
+FROM p
+"""
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secret_scan import scan_documents
+
+    return scan_documents(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_reply_trees": OP5_SQL, "op6_exact_dedup": OP6_SQL}
+    return {"op5_reply_trees": OP5_SQL, "op6_exact_dedup": OP6_SQL, "op7_mixing": OP7_SQL}
