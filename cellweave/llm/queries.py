@@ -86,6 +86,15 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .token_files import read_token_files, write_token_files
+
+    manifest = write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return read_token_files(manifest)
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
 
