@@ -77,10 +77,10 @@ def root_to_leaf(nodes: DataFrame, best: int = 1) -> DataFrame:
         )
     ended = now.where("up is null")
     ranked = ended.join(leaves, ["tree", "node"]).withColumn("branch", F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("total"), "node")))
-    steps = ranked.where(F.col("branch") <= best).select("tree", F.col("node").alias("leaf"), "branch", "node", "depth")
+    steps = written(ranked.where(F.col("branch") <= best).select("tree", F.col("node").alias("leaf"), "branch", "node", "depth"), "leaves")
     for k, jump in reversed(list(enumerate(jumps))):
         more = steps.join(jump, ["tree", "node"]).select("tree", "leaf", "branch", F.col("up").alias("node"), (F.col("depth") - 2**k).alias("depth"))
-        steps = steps.unionByName(more)
+        steps = written(steps.unionByName(more), f"steps{k}")
     return steps
 
 
