@@ -30,8 +30,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BLANK = "▁"
+MARKS = ".,;:!?\n"
 #: A worker keeps ids of so many words of at most so many symbols, and so many judged pairs of pieces.
-KEPT_WORDS, KEPT_LENGTH, KEPT_PAIRS = 400_000, 48, 1_000_000
+KEPT_WORDS, KEPT_LENGTH, KEPT_PAIRS = 700_000, 48, 1_000_000
 SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("ids_crc32", T.LongType()), T.StructField("lossless", T.BooleanType())])
 
 
@@ -48,13 +49,15 @@ class Pieces:
         self.text = {i: model.id_to_piece(i) for i in plain}
         self.ids = {p: i for i, p in self.text.items()}
         self.score = {i: model.get_score(i) for i in plain}
-        self.starts = {p[:k] for p in self.ids for k in range(1, len(p) + 1)}
+        #: Each piece's id, and -1 for a string that only starts pieces.
+        self.arcs = {p[:k]: -1 for p in self.ids for k in range(1, len(p))} | self.ids
         self.longest = max(map(len, self.ids))
         self.byte_ids = {int(model.id_to_piece(i)[3:5], 16): i for i in n if model.is_byte(i)}
         self.unknown = model.unk_id()
         self.word_bound = not any(BLANK in p.lstrip(BLANK) for p in self.ids)
-        #: Marks that no piece holds after a letter: every path runs through the boundary before one.
-        self.loose = [m for m in ".,;:!?\n" if not any(re.search(rf"[^\W\d_]{re.escape(m)}", p) for p in self.ids)]
+        #: Letters that no piece holds before one of the marks: every path runs through the boundary between.
+        bound = {x for p in self.ids for x, y in zip(p, p[1:], strict=False) if y in MARKS}
+        self.letter = rf"[^\W\d_{re.escape(''.join(sorted(x for x in bound if re.match(r'[^\W\d_]', x))))}]"
         self.lowest = min(self.score.values())
         self.bytes = {i: p.replace(BLANK, " ").encode() for i, p in self.text.items()} | {i: bytes([b]) for b, i in self.byte_ids.items()}
         self.same = model.normalize("  a éﬁ\t\nA ") == BLANK * 3 + "a" + BLANK + "éﬁ\t\nA" + BLANK
@@ -100,29 +103,31 @@ class Search:
         if len(self.pairs) >= KEPT_PAIRS:
             self.pairs.clear()
         x, y = self.p.text[a], self.p.text[b]
-        known = self.pairs[a, b] = self.p.merged(x + y) == [x, y]
+        known = self.pairs[a << 32 | b] = self.p.merged(x + y) == [x, y]
         return known
 
     def feed(self, text: str, last: bool = False) -> list[int]:
         self.tail += text
         tail, base, nodes, pairs, out = self.tail, self.tail_at, self.nodes, self.pairs, []
-        ids, starts, longest, bpe, score = self.p.ids, self.p.starts, self.p.longest, self.p.kind == "bpe", self.p.score
+        arcs, longest, bpe, score = self.p.arcs, self.p.longest, self.p.kind == "bpe", self.p.score
         for at in range(self.at, base + len(tail) - (0 if last else longest)):
             node, o = nodes.get(at), at - base
             if node is None:
                 continue
             _, arc, total, follows = node
-            single = False
-            for n in range(1, longest + 1):
-                s = tail[o : o + n]
-                if s not in starts or len(s) < n:
-                    break
-                piece = ids.get(s)
+            single, key = False, arc << 32
+            for n in range(1, min(longest, len(tail) - o) + 1):
+                piece = arcs.get(tail[o : o + n])
                 if piece is None:
+                    break
+                if piece < 0:
                     continue
                 single |= n == 1
                 if bpe:
-                    if arc < 0 or pairs.get((arc, piece)) or ((arc, piece) not in pairs and self.agrees(arc, piece)):
+                    agreed = arc < 0 or pairs.get(key | piece)
+                    if agreed is None:
+                        agreed = self.agrees(arc, piece)
+                    if agreed:
                         nodes[at + n] = [at, piece, 0.0, []]
                         follows.append(at + n)
                 else:
@@ -191,8 +196,8 @@ class Codec:
         self.p = Pieces(path, kind)
         self.search, self.kept = Search(self.p), {}
         self.run_ids = lru_cache(4096)(lambda n: self._runs(n))
-        marks = re.escape("".join(self.p.loose))
-        self.words = re.compile(rf"{BLANK}*[^\W\d_]+(?=[{marks}{BLANK}]|\Z)|{BLANK}*[^{BLANK}]+|{BLANK}+").findall
+        marks = re.escape(MARKS)
+        self.words = re.compile(rf"{BLANK}*{self.p.letter}+(?=[{marks}{BLANK}]|\Z)|{BLANK}*[^{BLANK}]+|{BLANK}+").findall
         self.table = [self.p.bytes.get(i, b"") for i in range(max(self.p.bytes) + 1)]
 
     def normalized(self, text: str) -> str:

@@ -95,6 +95,21 @@ def op3_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(manifest)
 
 
+def op1_piece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .piece_viterbi import encode_documents
+
+    return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language_id import fit, predict_documents
+
+    docs = table(spark, sf_dir, "documents")
+    return predict_documents(docs, fit(docs))
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
 
