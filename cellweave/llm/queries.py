@@ -110,6 +110,12 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_documents(docs, fit(docs))
 
 
+def op4_min_max_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .near_dedup import near_groups
+
+    return near_groups(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
 
