@@ -116,6 +116,13 @@ def op4_min_max_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"))
 
 
+def op2_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .multi_index import nearest
+
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
 
