@@ -64,18 +64,18 @@ def root_to_leaf(nodes: DataFrame, best: int = 1) -> DataFrame:
         "tree", "node", F.when(F.col("there"), F.col("parent")).alias("up"), F.lit(1).cast("long").alias("depth"), F.col("score").alias("total")
     )
     leaves = links.join(links.select("tree", F.col("parent").alias("node")).where("node is not null").distinct(), ["tree", "node"], "left_anti").select("tree", "node")
-    jumps, most = [], links.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
-    for k in range(max(1, int(most).bit_length())):
+    jumps, ended, most = [], None, links.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
+    for k in range(int(most).bit_length() + 1):  # a round moves only the nodes that haven't reached their root
         now = written(now, f"jump{k}")
-        jumps.append(now.select("tree", "node", "up").where("up is not null"))
+        there = now.where("up is null").drop("up")
+        ended = there if ended is None else ended.unionByName(there)
+        jumps.append(now.where("up is not null").select("tree", "node", "up"))
         if not jumps[-1].take(1):
             jumps.pop()
             break
-        over = now.select("tree", F.col("node").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"), F.col("total").alias("sum"))
-        now = now.join(over, ["tree", "up"], "left").select(
-            "tree", "node", F.col("next").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), (F.col("total") + F.coalesce("sum", F.lit(0.0))).alias("total")
-        )
-    ended = now.where("up is null")
+        over = now.where("up is not null").unionByName(ended.withColumn("up", F.lit(None).cast("long")))
+        over = over.select("tree", F.col("node").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"), F.col("total").alias("sum"))
+        now = now.where("up is not null").join(over, ["tree", "up"]).select("tree", "node", F.col("next").alias("up"), (F.col("depth") + F.col("more")).alias("depth"), (F.col("total") + F.col("sum")).alias("total"))
     ranked = ended.join(leaves, ["tree", "node"]).withColumn("branch", F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("total"), "node")))
     steps = written(ranked.where(F.col("branch") <= best).select("tree", F.col("node").alias("leaf"), "branch", "node", "depth"), "leaves")
     for k, jump in reversed(list(enumerate(jumps))):
