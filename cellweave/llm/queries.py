@@ -123,6 +123,12 @@ def op2_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, vectors.where("vec_id % 20 = 0"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substring_dedup import drop_repeats
+
+    return drop_repeats(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
 
