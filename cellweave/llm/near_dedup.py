@@ -7,8 +7,8 @@ hash evaluations for each shingle. Bands of four values give the candidates: a p
 Copies with the same word sequence are one candidate. Each bucket first offers the pairs of its
 members with its smallest identifier; after the links found so far have joined components, buckets
 that still hold several components offer the pairs between different ones. A pair is offered by the
-first band that it shares and only if sizes and 1,024-bit sketches (five standard deviations under
-the threshold) allow a link; the join tests this before it makes a row. No task holds a bucket.
+first band that it shares and only if sizes and sketches of 1,024 values (five standard deviations
+under the threshold) allow a link; the join tests this before it makes a row. No task holds a bucket.
 """
 
 from __future__ import annotations
@@ -26,8 +26,8 @@ from .components import connected_components
 from .shared import written
 from .shingles import band_keys, min_max_signatures, sequence_keys, shingle_sets, sketch_bits, word_hashes
 
-#: Words in a shingle; similarity in hundredths; permutations and values in a band; permutations of a sketch.
-WORDS, PERCENT, PERMUTATIONS, ROWS, SKETCH = 5, 75, 84, 4, 512
+#: Words in a shingle; similarity in hundredths; permutations and values in a band; permutations of a sketch and bits of its values.
+WORDS, PERCENT, PERMUTATIONS, ROWS, SKETCH, PLANES = 5, 75, 84, 4, 512, 2
 #: Documents hashed at once hold about so many characters.
 CHARS = 1 << 19
 
@@ -72,7 +72,7 @@ def full_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         for piece in _pieces(texts):
             sets = shingle_sets(*word_hashes([t.encode() for t in texts[piece]]), WORDS)
             out[1] += [len(s) for s in sets]
-            out[2] += list(sketch_bits(min_max_signatures(sets, SKETCH, seed=11)))
+            out[2] += list(sketch_bits(min_max_signatures(sets, SKETCH, seed=11), PLANES))
             out[3] += [s.astype("<u8").tobytes() for s in sets]
         return out
 
@@ -80,12 +80,19 @@ def full_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
 
 def may_link(percent: int) -> Column:
-    """Whether sizes an, bn and sketches asketch, bsketch leave a link possible."""
-    s = percent / 100
-    bits = 2 * SKETCH
-    least = (1 + s) / 2 - 5 * (((1 + s) / 2) * ((1 - s) / 2) / bits) ** 0.5
-    differ = F.aggregate(F.zip_with("asketch", "bsketch", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x)
-    return (F.least("an", "bn") * 100 >= F.greatest("an", "bn") * percent) & (differ <= int((1 - least) * bits))
+    """Whether sizes an, bn and sketches asketch, bsketch leave a link possible.
+
+    Values agree in all planes at similarity s with probability s + (1 - s) / 2 ** planes.
+    """
+    values, wide = 2 * SKETCH, 2 * SKETCH // 64
+    chance = percent / 100 + (1 - percent / 100) / 2**PLANES
+    least = chance - 5 * (chance * (1 - chance) / values) ** 0.5
+    plane = lambda k: F.zip_with(F.slice("asketch", k * wide + 1, wide), F.slice("bsketch", k * wide + 1, wide), lambda x, y: x.bitwiseXOR(y))
+    unequal = plane(0)
+    for k in range(1, PLANES):
+        unequal = F.zip_with(unequal, plane(k), lambda x, y: x.bitwiseOR(y))
+    differ = F.aggregate(unequal, F.lit(0), lambda a, x: a + F.bit_count(x))
+    return (F.least("an", "bn") * 100 >= F.greatest("an", "bn") * percent) & (differ <= int((1 - least) * values))
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

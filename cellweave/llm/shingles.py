@@ -114,7 +114,7 @@ def band_keys(signatures: np.ndarray, rows: int) -> np.ndarray:
     return mixed(keys ^ (np.arange(n, dtype=np.uint64) * _BASE)[None, :]).view(np.int64)
 
 
-def sketch_bits(signatures: np.ndarray) -> np.ndarray:
-    """One bit of each value, 64 to a signed word: sets by values / 64."""
-    bits = (mixed(signatures) & np.uint64(1)).astype(np.uint8)
-    return np.packbits(bits, axis=1).view(np.int64)
+def sketch_bits(signatures: np.ndarray, planes: int) -> np.ndarray:
+    """``planes`` bits of each value, 64 values to a signed word, one plane after the other: sets by planes * values / 64."""
+    values = mixed(signatures)
+    return np.concatenate([np.packbits(((values >> np.uint64(k)) & np.uint64(1)).astype(np.uint8), axis=1).view(np.int64) for k in range(planes)], axis=1)
