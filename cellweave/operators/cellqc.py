@@ -67,6 +67,10 @@ def mixture_bic(ratios: DataFrame, value: str, k: int, seed: int = 1) -> tuple[f
     from pyspark.ml.clustering import GaussianMixture
     from pyspark.ml.functions import array_to_vector
 
+    if k == 1:
+        row = ratios.agg(F.count(value).alias("n"), F.avg(value).alias("m"), F.var_pop(value).alias("v")).first()
+        n, v = row["n"], max(row["v"] or 0.0, 1e-12)
+        return 2 * float(np.log(n)) + n * float(np.log(2 * np.pi * v) + 1), [row["m"]], ratios.withColumn("component", F.lit(0))
     rows = ratios.withColumn("__v", array_to_vector(F.array(F.col(value).cast("double"))))
     model = GaussianMixture(featuresCol="__v", predictionCol="component", probabilityCol="__p", k=k, tol=1e-6, maxIter=200, seed=seed).fit(rows)
     free = 3 * k - 1

@@ -268,14 +268,13 @@ def resampled_tests(matrix: DataFrame, labels: DataFrame, n_iter: int = 50, alph
     """
     drawn, own = resampled(matrix, labels, n_iter, percentile, upsample, seed)
     names = [r["label"] for r in labels.select("label").distinct().orderBy("label").collect()]
-    parts = []
-    for k in range(n_iter):
-        m, lab = drawn.where(F.col("iter") == k).drop("iter"), own.where(F.col("iter") == k).drop("iter")
-        test = with_p(mann_whitney(m, lab, *names), "normal").select("gene", F.col("z").alias("x"), "p") if len(names) == 2 else with_p(kruskal(m, lab), "chi2").select("gene", F.col("h").alias("x"), "p")
-        parts.append(test)
-    every = parts[0]
-    for part in parts[1:]:
-        every = every.unionByName(part)
+    # the iteration is part of the gene, so that one plan tests all of them
+    m, lab = drawn.select(F.struct("iter", "gene").alias("gene"), "cell", "value"), own.select("cell", "label").distinct()
+    if len(names) == 2:
+        tests = with_p(mann_whitney(m, lab, *names), "normal").withColumnRenamed("z", "x")
+    else:
+        tests = with_p(kruskal(m, lab), "chi2").withColumnRenamed("h", "x")
+    every = tests.select(F.col("gene.gene").alias("gene"), "x", "p")
     mid = every.groupBy("gene").agg(F.percentile("x", F.lit(0.5)).alias("statistic"), F.percentile("x", F.lit(0.025)).alias("lo"), F.percentile("x", F.lit(0.975)).alias("hi"), F.percentile("p", F.lit(0.5)).alias("p"))
     return tsbh_adjust(mid.fillna({"statistic": 0.0, "p": 1.0}), "p", alpha)
 

@@ -92,7 +92,7 @@ def merge_samples(spark, d):
 
 
 @query("""SELECT o_orderstatus AS sample, l_suppkey % 4 AS cluster, count(*) AS n, round(count(*) / sum(count(*)) OVER (PARTITION BY o_orderstatus), 2) AS share
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL""")
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_orderstatus, l_suppkey % 4""")
 def cluster_composition(spark, d):
     rows = table(spark, d, "lineitem").join(table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     n = rows.groupBy(F.col("o_orderstatus").alias("sample"), (F.col("l_suppkey") % 4).alias("cluster")).agg(F.count(F.lit(1)).alias("n"))
@@ -107,7 +107,7 @@ def dna_encode(spark, d):
     return table(spark, d, "lineitem").select(sequence((F.col("l_orderkey") % 1024).cast("long"), 5).alias("seq")).distinct().withColumn("packed", dna.encode(F.col("seq")))
 
 
-@query(f"SELECT DISTINCT {packed_sql('l_orderkey % 1024', 5)} AS packed, {sequence_sql('l_orderkey % 1024', 5)} AS seq, 5 AS bases, length({sequence_sql('l_orderkey % 1024', 5)}) - length(replace({sequence_sql('l_orderkey % 1024', 5)}, 'T', '')) AS n_t FROM lineitem")
+@query(f"SELECT DISTINCT {packed_sql('l_orderkey % 1024', 5)} AS packed, {sequence_sql('l_orderkey % 1024', 5)} AS seq, 5 AS bases, length({sequence_sql('l_orderkey % 1024', 5)})::INTEGER - length(replace({sequence_sql('l_orderkey % 1024', 5)}, 'T', ''))::INTEGER AS n_t FROM lineitem")
 def dna_decode(spark, d):
     p = table(spark, d, "lineitem").select(packed((F.col("l_orderkey") % 1024).cast("long"), 5).alias("packed")).distinct()
     return p.select("packed", dna.decode(F.col("packed")).alias("seq"), dna.seq_len(F.col("packed")).alias("bases"), dna.count_base(F.col("packed"), "T").alias("n_t"))
@@ -131,7 +131,7 @@ def extract_barcodes(spark, d):
 
 
 @query(f"""WITH {INTERVALS}, k AS (SELECT DISTINCT chrom, strand, pos FROM al), g AS (SELECT k.*, CASE WHEN count(DISTINCT gene) = 1 THEN min(gene) END AS gene FROM k LEFT JOIN iv ON iv.chrom = k.chrom AND iv.strand = k.strand AND pos >= s AND pos < e GROUP BY ALL)
-SELECT al.chrom, al.strand, al.pos, CAST(g.gene AS INTEGER) AS gene, count(*) AS n FROM al JOIN g ON al.chrom = g.chrom AND al.strand = g.strand AND al.pos = g.pos GROUP BY ALL""".replace("GROUP BY ALL), g", "GROUP BY ALL), g").replace("iv.strand = k.strand AND pos >= s AND pos < e GROUP BY ALL)", "iv.strand = k.strand AND pos >= s AND pos < e GROUP BY k.chrom, k.strand, k.pos)"))
+SELECT al.chrom, al.strand, al.pos, CAST(g.gene AS INTEGER) AS gene, count(*) AS n FROM al JOIN g ON al.chrom = g.chrom AND al.strand = g.strand AND al.pos = g.pos GROUP BY ALL""".replace("iv.strand = k.strand AND pos >= s AND pos < e GROUP BY ALL)", "iv.strand = k.strand AND pos >= s AND pos < e GROUP BY k.chrom, k.strand, k.pos)"))
 def interval_translate(spark, d):
     found = annotation.genes_at(alignments(spark, d), intervals(spark, d), ["l_orderkey"], bin_size=64)
     return found.groupBy("chrom", "strand", "pos", "gene").agg(F.count(F.lit(1)).alias("n"))
@@ -167,7 +167,6 @@ def gene_subset(spark, d):
 # ---- barcodes and tags
 
 WHITE = f"white AS (SELECT DISTINCT {packed_sql('l_suppkey', 4)} AS barcode FROM lineitem WHERE l_suppkey % 2 = 0)"
-NEAR = "near AS (SELECT a.cell AS cell, b.cell AS near, {d} AS distance FROM cells a, cells b)"
 
 
 def _white(spark, d):
@@ -235,13 +234,11 @@ def dropseq_base_shift(spark, d):
 
 @query(f"""WITH {DNA_READS}, t AS (SELECT DISTINCT cell, rmt FROM dna_reads), n AS (SELECT cell, count(*) AS n_tags FROM t GROUP BY cell HAVING count(*) >= 10),
 p AS (SELECT cell, i, (rmt >> (3 * i)) & 7 AS b, count(*) AS k FROM t, range(1, 3) r(i) GROUP BY ALL), m AS (SELECT cell, max(k) AS most FROM p WHERE b <> 7 GROUP BY cell)
-SELECT cell, n_tags, most FROM n JOIN m USING (cell) WHERE most > 0.26 * n_tags""".replace("GROUP BY ALL)", "GROUP BY cell, i, (rmt >> (3 * i)) & 7)"))
+SELECT cell, n_tags, most FROM n JOIN m USING (cell) WHERE most > 0.24 * n_tags""".replace("GROUP BY ALL)", "GROUP BY cell, i, (rmt >> (3 * i)) & 7)"))
 def dropseq_rmt_bias(spark, d):
-    return barcodes.biased_cells(dna_reads(spark, d), share=0.26)
+    return barcodes.biased_cells(dna_reads(spark, d), share=0.24)
 
 
-GENE_SETS = f"""WITH {READS}, sets AS (SELECT DISTINCT cell, rmt, list_sort(list_distinct(CASE WHEN g <> 0 AND two THEN [g, g2] WHEN g <> 0 THEN [g] WHEN two THEN [g2] ELSE [] END)) AS genes FROM reads WHERE status & 239 = 0"""
-
 
 @query(f"""WITH RECURSIVE {READS}, sets AS (SELECT DISTINCT cell, rmt, list_sort(list_distinct(CASE WHEN g <> 0 AND two THEN [g, g2] WHEN g <> 0 THEN [g] WHEN two THEN [g2] ELSE [] END)) AS genes FROM reads WHERE status & 239 = 0),
 own AS (SELECT *, row_number() OVER (PARTITION BY cell, rmt ORDER BY genes) AS k, count(*) OVER (PARTITION BY cell, rmt) AS n_sets FROM sets),

@@ -51,8 +51,8 @@ def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 READS = """
 raw AS (
-  SELECT l_orderkey AS read_id, l_suppkey AS cell, l_partkey % 20 AS g, l_orderkey % 64 AS rmt, l_linenumber AS pos, CAST(l_quantity AS INTEGER) % 10 AS n_poly_t,
-         l_orderkey % 7 = 0 AND (l_partkey + 7) % 20 <> 0 AS two, (l_partkey + 7) % 20 AS g2 FROM lineitem
+  SELECT l_orderkey AS read_id, l_suppkey AS cell, CAST(l_partkey % 20 AS INTEGER) AS g, l_orderkey % 64 AS rmt, CAST(l_linenumber AS INTEGER) AS pos, CAST(l_quantity AS INTEGER) % 10 AS n_poly_t,
+         l_orderkey % 7 = 0 AND (l_partkey + 7) % 20 <> 0 AS two, CAST((l_partkey + 7) % 20 AS INTEGER) AS g2 FROM lineitem
 ), reads AS (
   SELECT *, CASE WHEN g = 0 AND NOT two THEN 1 ELSE 0 END + CASE WHEN g <> 0 AND two THEN 16 ELSE 0 END + CASE WHEN rmt = 0 OR cell = 0 THEN 32 ELSE 0 END + CASE WHEN n_poly_t < 1 THEN 8 ELSE 0 END AS status,
          CASE WHEN g <> 0 THEN g WHEN two THEN g2 ELSE 0 END AS gene, CASE WHEN g <> 0 THEN pos WHEN two THEN pos + 1 ELSE 0 END AS position FROM raw
@@ -76,7 +76,7 @@ def dna_reads(spark: SparkSession, sf_dir: str, cell_bases: int = 4) -> DataFram
 
 DNA_READS = f"""
 dna_reads AS (
-  SELECT l_orderkey AS read_id, {packed_sql("l_suppkey", 4)} AS cell, {packed_sql("l_orderkey % 64", 3)} AS rmt, l_partkey % 20 AS gene, l_linenumber AS position FROM lineitem
+  SELECT l_orderkey AS read_id, {packed_sql("l_suppkey", 4)} AS cell, {packed_sql("l_orderkey % 64", 3)} AS rmt, CAST(l_partkey % 20 AS INTEGER) AS gene, CAST(l_linenumber AS INTEGER) AS position FROM lineitem
 )"""
 
 
