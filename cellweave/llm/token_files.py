@@ -18,6 +18,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +34,8 @@ from .shared import shared_path, written
 MAGIC, HEADER = b"CWPLANE1", struct.Struct("<8sIB3x")
 #: Ids in a block, and zstandard's level.
 BLOCK, LEVEL = 1 << 16, 1
-#: Words whose ids a worker keeps; when full, it starts anew.
-KEPT_WORDS = 600_000
+#: Words whose ids a worker keeps; when full, the later half goes, as frequent words come early.
+KEPT_WORDS = 1_000_000
 #: A mark of punctuation between a letter and white space is a word of its own to the tokenizer.
 LAST_MARK = re.compile(rb"(?<=[a-z])([.,;:!?])(?=[ \n]|$)")
 
@@ -154,6 +155,13 @@ class WordEncoder:
         self.number: dict[bytes, int] = {b"": 0}
         self.flat, self.stops, self.size = [np.array([self.end], np.uint32)], [np.array([0, 1], np.int64)], 1
 
+    def halve(self) -> None:
+        half = len(self.number) // 2 + 1
+        self.number = dict(islice(self.number.items(), half))
+        stops = np.concatenate(self.stops)[: half + 1]
+        self.size = int(stops[-1])
+        self.flat, self.stops = [np.concatenate(self.flat)[: self.size].copy()], [stops.copy()]
+
     def learn(self, new: list[bytes]) -> None:
         mark = self.mark.encode()
         plain = [w for w in new if mark not in w]
@@ -180,7 +188,7 @@ class WordEncoder:
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(number of ids of each text with its end id, all those ids)."""
         if len(self.number) > KEPT_WORDS:
-            self.clear()
+            self.halve()
         words: list[bytes] = []
         counts, whole = np.zeros(len(texts), np.int64), {}
         for i, text in enumerate(texts):

@@ -66,7 +66,7 @@ def test_file_round_trip(tmp_path, bits):
             token_files.Reader(f, f.size() - 1)
 
 
-def test_full_word_store_starts_anew(monkeypatch):
+def test_full_word_store_drops_its_later_half(monkeypatch):
     monkeypatch.setattr(token_files, "KEPT_WORDS", 2)
     e = token_files.WordEncoder(WORDS, 1)
     for _ in range(3):
