@@ -22,6 +22,7 @@ import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heappop, heappush
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -254,8 +255,9 @@ class Codec:
                 lone = ids[0] == self.p.ids[BLANK]
                 ids = self.run_ids(blanks - 1 + lone) + ids[lone:]
             if len(word) <= KEPT_LENGTH:
-                if len(self.kept) >= KEPT_WORDS:
-                    self.kept.clear()
+                if len(self.kept) >= KEPT_WORDS:  # frequent words come early
+                    for old in list(islice(reversed(self.kept), KEPT_WORDS // 2)):
+                        del self.kept[old]
                 self.kept[word] = tuple(ids)
         return ids
 
