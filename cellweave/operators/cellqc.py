@@ -166,3 +166,31 @@ def cumulative_sizes(sizes: DataFrame, value: str = "n_molecules") -> DataFrame:
     down = Window.orderBy(F.desc("size"))
     total = F.sum(F.col("size") * F.col("n")).over(Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     return rows.withColumn("share", F.sum(F.col("size") * F.col("n")).over(down) / total)
+
+
+#: Kinds of rejected reads in a yield summary.
+REJECTED = ("genomic", "phix", "no_cell", "rmt_n", "cell_n", "poly_t", "dust", "wrong_cell")
+
+
+def yield_summary(totals: DataFrame) -> DataFrame:
+    """Percentages of a run, to one decimal: aligned reads, their origin, and each kind of rejected read.
+
+    totals: n_input, n_aligned and the kinds in REJECTED (wrong_cell may be null, as some platforms
+    don't have it). Rows whose input or alignments are unknown, as in runs started later, drop out.
+    """
+    known = totals.where("n_input > 0 and n_aligned > 0").withColumn("wrong_cell", F.coalesce("wrong_cell", F.lit(0)))
+    bad = sum((F.col(k) for k in REJECTED[1:]), F.col(REJECTED[0]))
+    rows = known.withColumn("n_rejected", bad).withColumn("n_good", F.col("n_aligned") - F.col("n_rejected")).withColumn("n_transcriptomic", F.col("n_aligned") - F.col("genomic") - F.col("phix"))
+    share = lambda part, whole: F.bround(F.col(part) / F.nullif(F.col(whole), F.lit(0)) * 100, 1)
+    return rows.select(
+        "*", share("n_aligned", "n_input").alias("pct_aligned"), F.bround(100 - share("n_aligned", "n_input"), 1).alias("pct_unaligned"),
+        share("genomic", "n_aligned").alias("pct_genomic"), share("phix", "n_aligned").alias("pct_phix"), share("n_transcriptomic", "n_aligned").alias("pct_transcriptomic"),
+        share("n_rejected", "n_input").alias("pct_rejected"), share("n_good", "n_input").alias("pct_good"), *[share(k, "n_rejected").alias(f"pct_bad_{k}") for k in REJECTED],
+    )
+
+
+def density_grid(points: DataFrame, bins: int = 50) -> DataFrame:
+    """Cells of a grid over x and y with the number of points and its arcsinh, for density plots."""
+    ends = points.agg(*[f(c).alias(f"__{c}_{n}") for c in ("x", "y") for n, f in (("lo", F.min), ("hi", F.max))])
+    at = lambda c: F.coalesce(F.least(F.floor((F.col(c) - F.col(f"__{c}_lo")) / F.nullif(F.col(f"__{c}_hi") - F.col(f"__{c}_lo"), F.lit(0.0)) * bins), F.lit(bins - 1)), F.lit(0)).cast("long")
+    return points.crossJoin(F.broadcast(ends)).groupBy(at("x").alias("x_bin"), at("y").alias("y_bin")).agg(F.count(F.lit(1)).alias("n")).withColumn("density", F.asinh(F.col("n").cast("double")))

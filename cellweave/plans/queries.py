@@ -584,3 +584,95 @@ def sam_multialign(spark, d):
     places = readers.multi_alignments(rows)
     n = rows.groupBy("qname").agg(F.count(F.lit(1)).alias("n"))
     return places.join(n, "qname").select("qname", "n", F.array_min(F.transform("places", lambda p: p["pos"])).alias("first_pos"), F.size("places").cast("long").alias("n_places"))
+
+
+@query("""SELECT l_orderkey % 5 AS run, CAST(length(l_comment) AS INTEGER) AS length, count(*) AS n FROM (SELECT l_orderkey, repeat('A', CAST(l_quantity AS INTEGER)) AS l_comment FROM lineitem) GROUP BY 1, 2""")
+def sequence_lengths(spark, d):
+    rows = table(spark, d, "lineitem").select((F.col("l_orderkey") % 5).alias("run"), F.repeat(F.lit("A"), F.col("l_quantity").cast("int")).alias("sequence"))
+    return rows.groupBy("run", F.length("sequence").alias("length")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""SELECT l_suppkey, CAST(floor((33 + l_suppkey % 40 + 33 + l_suppkey % 17 + 33 + 2 * (l_suppkey % 10)) / 3) - 33 AS INTEGER) AS quality FROM (SELECT DISTINCT l_suppkey FROM lineitem)""")
+def average_quality(spark, d):
+    k = F.col("l_suppkey")
+    keys = table(spark, d, "lineitem").select("l_suppkey").distinct()
+    text = F.concat(F.char(33 + k % 40), F.char(33 + k % 17), F.char(33 + 2 * (k % 10)))
+    return keys.select("l_suppkey", readers.average_quality(text).alias("quality"))
+
+
+@query("""SELECT l_suppkey, ['p' || CAST(l_suppkey % 3 AS VARCHAR), 'AC' || CAST(l_suppkey AS VARCHAR), 'GG', 'TT'][2] AS cell, 'AC' || CAST(l_suppkey AS VARCHAR) || 'x' AS name, CASE WHEN l_suppkey % 2 = 0 THEN CAST(l_suppkey AS VARCHAR) END AS value FROM (SELECT DISTINCT l_suppkey FROM lineitem)""")
+def name_annotations(spark, d):
+    k = F.col("l_suppkey").cast("string")
+    raw = F.concat(F.lit("p"), (F.col("l_suppkey") % 3).cast("string"), F.lit(":AC"), k, F.lit(":GG:TT;AC"), k, F.lit("x"))
+    meta = F.when(F.col("l_suppkey") % 2 == 0, F.concat(raw, F.lit("|key="), k)).otherwise(raw)
+    rows = table(spark, d, "lineitem").select("l_suppkey").distinct()
+    field = readers.name_fields(raw)
+    return rows.select("l_suppkey", field["cell"].alias("cell"), field["name"].alias("name"), F.try_element_at(readers.metadata(meta), F.lit("key")).alias("value"))
+
+
+@query("""WITH r AS (SELECT DISTINCT l_linenumber * 16 + CASE WHEN l_linestatus = 'O' THEN 4 ELSE 0 END AS flag, l_linenumber % 3 AS hits FROM lineitem)
+SELECT CAST(flag AS INTEGER) AS flag, CAST(hits AS INTEGER) AS hits, flag & 4 <> 0 AS is_unmapped, hits > 1 AS is_multimapped, hits = 1 AS is_unique, CASE WHEN flag & 16 <> 0 THEN '-' ELSE '+' END AS strand FROM r""")
+def sam_flags(spark, d):
+    c = F.col
+    rows = table(spark, d, "lineitem").select((c("l_linenumber") * 16 + F.when(c("l_linestatus") == "O", 4).otherwise(0)).cast("int").alias("flag"), (c("l_linenumber") % 3).cast("int").alias("hits")).distinct()
+    found = readers.flag_columns(rows.withColumn("tags", F.create_map(F.lit("NH"), F.col("hits"))))
+    return found.select("flag", "hits", "is_unmapped", "is_multimapped", "is_unique", "strand")
+
+
+@query("SELECT p_partkey, CAST(p_partkey AS VARCHAR) AS gene_id, 'n' || CAST(p_size AS VARCHAR) AS gene_name FROM part")
+def gtf_attributes(spark, d):
+    text = F.format_string('gene_id "%d"; gene_name "n%d"; gene_id "other";', "p_partkey", F.col("p_size").cast("long"))
+    found = readers.attributes(text)
+    return table(spark, d, "part").select("p_partkey", F.element_at(found, "gene_id").alias("gene_id"), F.element_at(found, "gene_name").alias("gene_name"))
+
+
+@query(f"""WITH c AS (SELECT DISTINCT {packed_sql('l_orderkey % 64', 3)} AS packed FROM lineitem)
+SELECT packed, CAST((i * 5 + row_number() OVER (PARTITION BY packed, i ORDER BY pos) - 1) - i AS INTEGER) AS ord, (packed ^ (((packed >> (3 * i)) & 7) << (3 * i))) + (b << (3 * i)) AS near
+FROM c, range(3) r(i), (VALUES (1, 4), (2, 6), (3, 5), (4, 3), (5, 7)) t(pos, b) WHERE b <> (packed >> (3 * i)) & 7""".replace("packed ^ (((packed >> (3 * i)) & 7) << (3 * i))", "packed - (((packed >> (3 * i)) & 7) << (3 * i))"))
+def dna_neighbours(spark, d):
+    p = dna_reads(spark, d).select(F.col("rmt").alias("packed")).distinct()
+    return p.select("packed", F.posexplode(dna.neighbours(F.col("packed"))).alias("ord", "near"))
+
+
+@query(f"""WITH c AS (SELECT DISTINCT {packed_sql('l_orderkey % 64', 3)} AS donor, {packed_sql('l_partkey % 64', 3)} AS target FROM lineitem) SELECT donor, target, power(0.02, {_distance('donor', 'target', 3)}) AS p FROM c""")
+def conversion_probability(spark, d):
+    c = F.col
+    pairs = table(spark, d, "lineitem").select(packed((c("l_orderkey") % 64).cast("long"), 3).alias("donor"), packed((c("l_partkey") % 64).cast("long"), 3).alias("target")).distinct()
+    return pairs.select("donor", "target", dna.conversion_probability(c("donor"), c("target"), 0.02).alias("p"))
+
+
+@query("SELECT l_suppkey, length(t) - length(replace(replace(t, 'T', ''), 'N', '')) AS n FROM (SELECT DISTINCT l_suppkey, " + sequence_sql("l_suppkey * 31", 8) + " || 'N' AS t FROM lineitem)")
+def poly_t_count(spark, d):
+    tail = F.concat(sequence((F.col("l_suppkey") * 31).cast("long"), 8), F.lit("N"))
+    return table(spark, d, "lineitem").select("l_suppkey").distinct().select("l_suppkey", R.n_poly_t(tail).cast("long").alias("n"))
+
+
+@query("""WITH t AS (SELECT l_suppkey AS run, count(*) * 10 AS n_input, count(*) * 8 AS n_aligned, count(*) AS genomic, count(*) // 7 AS phix, count(*) // 3 AS no_cell, 5 AS rmt_n, 3 AS cell_n, count(*) // 2 AS poly_t, 0 AS dust, 2 AS wrong_cell FROM lineitem GROUP BY l_suppkey),
+b AS (SELECT *, genomic + phix + no_cell + rmt_n + cell_n + poly_t + dust + wrong_cell AS n_rejected FROM t)
+SELECT run, n_rejected, n_aligned - n_rejected AS n_good, round_even(n_aligned / n_input * 100, 1) AS pct_aligned, round_even(n_rejected / n_input * 100, 1) AS pct_rejected, round_even(poly_t / n_rejected * 100, 1) AS pct_bad_poly_t FROM b""")
+def yield_summary(spark, d):
+    n = F.count(F.lit(1))
+    t = table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("run")).agg(
+        (n * 10).alias("n_input"), (n * 8).alias("n_aligned"), n.alias("genomic"), F.floor(n / 7).alias("phix"), F.floor(n / 3).alias("no_cell"), F.lit(5).alias("rmt_n"), F.lit(3).alias("cell_n"), F.floor(n / 2).alias("poly_t"), F.lit(0).alias("dust"), F.lit(2).alias("wrong_cell")
+    )
+    return cellqc.yield_summary(t).select("run", "n_rejected", "n_good", "pct_aligned", "pct_rejected", "pct_bad_poly_t")
+
+
+@query("""WITH p AS (SELECT l_quantity::DOUBLE AS x, l_discount::DOUBLE AS y FROM lineitem), e AS (SELECT min(x) AS a, max(x) AS b, min(y) AS c, max(y) AS d FROM p),
+g AS (SELECT CAST(least(floor((x - a) / (b - a) * 20), 19) AS BIGINT) AS x_bin, CAST(least(floor((y - c) / (d - c) * 20), 19) AS BIGINT) AS y_bin, count(*) AS n FROM p, e GROUP BY 1, 2) SELECT *, asinh(n) AS density FROM g""")
+def density_grid(spark, d):
+    points = table(spark, d, "lineitem").select(F.col("l_quantity").cast("double").alias("x"), F.col("l_discount").cast("double").alias("y"))
+    return cellqc.density_grid(points, 20)
+
+
+@query(f"""WITH {KNN}, s AS (SELECT src, list(dst) AS s FROM kn GROUP BY src), p AS (SELECT DISTINCT least(src, dst) AS src, greatest(src, dst) AS dst FROM kn WHERE src <> dst)
+SELECT p.src, p.dst, len(list_intersect(a.s, b.s)) / len(list_distinct(list_concat(a.s, b.s))) AS w FROM p JOIN s a ON a.src = p.src JOIN s b ON b.src = p.dst WHERE len(list_intersect(a.s, b.s)) > 0""")
+def jaccard_edges(spark, d):
+    return graph.jaccard_edges(_near(spark, d))
+
+
+@query("""WITH e AS (SELECT vec_id AS cell, c AS component, embedding[c + 1]::DOUBLE AS x, vec_id % 37 AS size FROM embeddings, range(3) t(c)), l AS (SELECT component, regr_slope(x, size) AS m, regr_intercept(x, size) AS k FROM e GROUP BY component)
+SELECT cell, CAST(e.component AS INTEGER) AS component, x - (m * size + k) AS x FROM e JOIN l ON l.component = e.component""")
+def regress_library_size(spark, d):
+    rows = vectors(spark, d).select("cell", F.posexplode("vector").alias("component", "x")).where("component < 3").withColumn("x", F.col("x").cast("double"))
+    return graph.regress_out(rows, vectors(spark, d).select("cell", (F.col("cell") % 37).alias("size")))
