@@ -8,11 +8,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from cellweave.checkpoints import saved
-from cellweave.operators import barcodes, cellqc, reads, rmt
+from cellweave.operators import annotation, barcodes, cellqc, reads, rmt
 from cellweave.operators.counts import count_matrix
 from cellweave.operators.platforms import PLATFORMS
+from cellweave.sources import readers
 
 
 @dataclass
@@ -51,3 +53,18 @@ def run(raw: DataFrame, name: str, whitelists: list[DataFrame], required_poly_t:
     counts = saved(count_matrix(table))
     kept, cells = cellqc.filter_cells(counts, mitochondrial, most_mt, coverage=p.correction != "ten_x", low_count=p.low_count)
     return Run(table, counts, kept, cells, outcomes, rates)
+
+
+def gene_intervals(records: DataFrame, most: int = 1000) -> DataFrame:
+    """Intervals of genes from GTF records: the last ``most`` positions of each transcript's exons."""
+    exons = annotation.transcripts(records).select(
+        F.concat_ws(":", "seqname", F.col("transcript").cast("string")).alias("transcript"), "strand", F.col("line").alias("ord"), "start", "end",
+        F.col("seqname").alias("chrom"), annotation.integer_gene_id(F.element_at("attributes", "gene_id")).cast("int").alias("gene"),
+    )
+    owner = exons.select("transcript", "chrom", "gene").distinct()
+    return annotation.truncated_exons(exons, most).join(owner, "transcript").select("chrom", "strand", "start", "end", "gene").distinct()
+
+
+def from_alignments(alignments: DataFrame, records: DataFrame) -> DataFrame:
+    """The read table of annotated alignments by the genes of GTF records."""
+    return readers.read_table(alignments, gene_intervals(records))
