@@ -19,23 +19,24 @@ def tag_groups(reads: DataFrame) -> DataFrame:
     return active(reads).groupBy("cell", "gene", "rmt").agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_set("position")).alias("positions"))
 
 
-def _segments(tag: Column) -> Column:
-    """Three parts of a tag with its length, as strings that tell their place."""
-    digits, wide = dna.octal(tag), F.ceil(dna.seq_len(tag) / F.lit(SEGMENTS)).cast("int")
-    return F.transform(F.sequence(F.lit(0), F.lit(SEGMENTS - 1)), lambda i: F.concat_ws(":", F.length(digits).cast("string"), i.cast("string"), F.substr(digits, i * wide + 1, wide)))
-
-
 def close_tags(groups: DataFrame) -> DataFrame:
     """Ordered pairs (target, donor) of different tags of a cell and gene within two errors.
 
     Two such tags agree in one of three segments, so a group's tags meet by segment and not all with all.
-    A pair is made by the first segment it shares.
+    A pair is made by the first segment it shares. All conditions are arithmetic on packed values.
     """
-    keyed = groups.withColumn("parts", _segments(F.col("rmt"))).withColumn("part", F.explode("parts"))
-    donor = keyed.select("cell", "gene", "part", F.col("rmt").alias("donor"), F.col("n").alias("donor_n"), F.col("positions").alias("donor_positions"), F.col("parts").alias("donor_parts"))
-    first = F.get(F.filter(F.arrays_zip(F.col("parts").alias("a"), F.col("donor_parts").alias("b")), lambda z: z["a"] == z["b"]), F.lit(0))["a"] == F.col("part")
-    pairs = keyed.join(donor, ["cell", "gene", "part"]).where((F.col("rmt") != F.col("donor")) & first)
-    return pairs.withColumn("distance", dna.hamming(F.col("rmt"), F.col("donor"))).where("distance <= 2").drop("parts", "part", "donor_parts")
+    wide = F.ceil(F.col("bases") / F.lit(SEGMENTS)).cast("int") * 3
+    cut = F.call_function("shiftleft", F.lit(1).cast("long"), wide) - 1
+    keyed = groups.withColumn("bases", dna.seq_len(F.col("rmt")))
+    for i in range(SEGMENTS):
+        keyed = keyed.withColumn(f"s{i}", F.call_function("shiftright", F.col("rmt"), wide * i).bitwiseAND(cut))
+    keyed = keyed.withColumn("part", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"s{i}").alias("s")) for i in range(SEGMENTS)]))).select("*", F.col("part.i").alias("i"), F.col("part.s").alias("s")).drop("part")
+    donor = keyed.select("cell", "gene", "bases", "i", "s", F.col("rmt").alias("donor"), F.col("n").alias("donor_n"), F.col("positions").alias("donor_positions"), F.col("s0").alias("d0"), F.col("s1").alias("d1"))
+    x = F.col("rmt").bitwiseXOR(F.col("donor"))
+    distance = F.bit_count(x.bitwiseOR(F.shiftright(x, 1)).bitwiseOR(F.shiftright(x, 2)).bitwiseAND(F.lit(dna.LOW_BITS))).cast("int")
+    first = (F.col("i") == 0) | ((F.col("s0") != F.col("d0")) & ((F.col("i") == 1) | (F.col("s1") != F.col("d1"))))
+    pairs = keyed.join(donor, ["cell", "gene", "bases", "i", "s"]).where((F.col("rmt") != F.col("donor")) & first)
+    return pairs.withColumn("distance", distance).where("distance <= 2").select("cell", "gene", "rmt", "n", "positions", "donor", "donor_n", "donor_positions", "distance")
 
 
 def poisson_tail(n: Column, mean: Column) -> Column:
