@@ -92,7 +92,8 @@ def plan_mix(rows: DataFrame, seed: int = 0, block_words: int = BLOCK_WORDS, sha
     )
     part = F.when(F.lit(whole), F.when(F.col("end.part") * 2 >= F.col("end.size"), F.col("end.size")).otherwise(0)).otherwise(F.col("end.part"))
     sources = written(sources.join(ends, "sid", "left").select("source", "sid", "source_size", "target", "blocks", "epochs", F.col("end.place").alias("cut_place"), F.col("end.id").alias("cut_id"), part.alias("cut_words")), "sources")
-    copies = blocks.select("sid", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("epochs") - F.when(F.col("last") > 0, 0).otherwise(1))).alias("epoch")).where("epoch >= 0") if found else blocks.select("sid", "block", F.lit(0).cast("long").alias("epoch"))
+    drawn = F.col("epochs") + F.when(F.col("last") > 0, 1).otherwise(0)
+    copies = blocks.where(drawn > 0).select("sid", "block", F.explode(F.sequence(F.lit(0).cast("long"), drawn - 1)).alias("epoch"))
     ranked = written(copies.withColumn("rank", F.row_number().over(Window.partitionBy("sid").orderBy(F.xxhash64("sid", "block", "epoch", F.lit(seed)), "block", "epoch")).cast("long") - 1), "ranked")
     count = {r["sid"]: r["n"] for r in ranked.groupBy("sid").agg(F.count(F.lit(1)).alias("n")).collect()}
     quotas = [count.get(i, 0) for i in range(len(found))]
