@@ -7,7 +7,7 @@ hash evaluations for each shingle. Bands of four values give the candidates: a p
 Copies with the same word sequence are one candidate. Each bucket first offers the pairs of its
 members with its smallest identifier; after the links found so far have joined components, buckets
 that still hold several components offer the pairs between different ones. A pair is offered by the
-first band that it shares and only if sizes and sketches of 1,024 values (five standard deviations
+first band that it shares and only if sizes and sketches of 2,048 values (five standard deviations
 under the threshold) allow a link; the join tests this before it makes a row. No task holds a bucket.
 """
 
@@ -27,7 +27,7 @@ from .shared import written
 from .shingles import band_keys, min_max_signatures, sequence_keys, shingle_sets, sketch_bits, word_hashes
 
 #: Words in a shingle; similarity in hundredths; permutations and values in a band; permutations of a sketch and bits of its values.
-WORDS, PERCENT, PERMUTATIONS, ROWS, SKETCH, PLANES = 5, 75, 84, 4, 512, 2
+WORDS, PERCENT, PERMUTATIONS, ROWS, SKETCH, PLANES = 5, 75, 84, 4, 1024, 2
 #: Documents hashed at once hold about so many characters.
 CHARS = 1 << 19
 
@@ -150,10 +150,16 @@ def near_groups(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
     same_id = members.select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).where("a <> b").join(
         members.groupBy(F.col("doc_id").alias("b")).agg(F.countDistinct("rep").alias("reps")).where("reps > 1").select("b"), "b", "left_semi"
     ).select("a", "b")
-    label = connected_components(links.unionByName(more).unionByName(same_id))
-    found = members.join(label.select(F.col("node").alias("rep"), "component"), "rep", "left")
+    # components that later links join: the graph is contracted to the first components
+    first_of = lambda x: F.coalesce(f"{x}c", x)
+    ends = more.unionByName(same_id)
+    for x in "ab":
+        ends = ends.join(label.select(F.col("node").alias(x), F.col("component").alias(f"{x}c")), x, "left")
+    joined = connected_components(ends.select(first_of("a").alias("a"), first_of("b").alias("b"))).select(F.col("node").alias("component"), F.col("component").alias("final"))
+    found = members.join(label.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    found = found.join(joined, "component", "left").withColumn("component_id", F.coalesce("final", "component"))
     shown = lambda c: F.when(F.col(c) != NONE, F.col(c))
-    return found.withColumn("component_id", F.coalesce("component", "rep")).select(
+    return found.select(
         shown("doc_id").alias("doc_id"), "n_shingles", shown("component_id").alias("component_id"), (F.col("doc_id") == F.col("component_id")).alias("kept")
     )
 
