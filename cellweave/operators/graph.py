@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from cellweave.checkpoints import saved
 
-#: Rows of a block in the neighbour search, and dimensions up to which a covariance goes to the driver.
-BLOCK, MOST_FEATURES = 4096, 10_000
+#: Rows of a block in the neighbour search, rows compared at once, and dimensions up to which a covariance goes to the driver.
+BLOCK, CHUNK, MOST_FEATURES = 16_384, 512, 10_000
 
 
 def neighbours(vectors: DataFrame, k: int, id_col: str = "cell", vector_col: str = "vector") -> DataFrame:
@@ -19,7 +19,7 @@ def neighbours(vectors: DataFrame, k: int, id_col: str = "cell", vector_col: str
     Rows are dealt to blocks, and a task has one block against another: memory is bounded by two
     blocks, and each pair of blocks gives k rows for each of its rows.
     """
-    rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
+    rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).alias("v"))
     blocks = max(1, -(-rows.count() // BLOCK))
     own = rows.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
     left = own.withColumnRenamed("b", "a").withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
@@ -29,13 +29,21 @@ def neighbours(vectors: DataFrame, k: int, id_col: str = "cell", vector_col: str
         if not len(x) or not len(y):
             return pd.DataFrame({"src": [], "dst": [], "distance": []})
         y = y.sort_values("id")
-        p, q, ids = np.stack(x["v"].tolist()), np.stack(y["v"].tolist()), y["id"].to_numpy()
-        out = []
-        for src, v in zip(x["id"].tolist(), p, strict=True):
-            d = np.sqrt(((q - v) ** 2).sum(axis=1))
-            at = np.lexsort((ids, d))[:k]
-            out.append(pd.DataFrame({"src": src, "dst": ids[at], "distance": d[at]}))
-        return pd.concat(out)
+        p, q, ids = np.stack(x["v"].tolist()).astype(float), np.stack(y["v"].tolist()).astype(float), y["id"].to_numpy()
+        srcs, kept, far = x["id"].to_numpy(), [], []
+        size = (q * q).sum(axis=1)
+        for lo in range(0, len(p), CHUNK):  # products choose rows that may be among the k, differences decide
+            some = p[lo : lo + CHUNK]
+            own = (some * some).sum(axis=1)
+            near = size - 2 * (some @ q.T)
+            most = np.partition(near, k - 1, axis=1)[:, k - 1] if k < len(q) else np.full(len(some), np.inf)
+            for i, v in enumerate(some):
+                at = np.flatnonzero(near[i] <= most[i] + 1e-9 * (own[i] + size.max())) if np.isfinite(most[i]) else np.arange(len(q))
+                d = np.sqrt(((q[at] - v) ** 2).sum(axis=1))
+                first = np.lexsort((ids[at], d))[:k]
+                kept.append(at[first])
+                far.append(d[first])
+        return pd.DataFrame({"src": np.repeat(srcs, [len(a) for a in kept]), "dst": ids[np.concatenate(kept)], "distance": np.concatenate(far)})
 
     kind = vectors.schema[id_col].dataType.simpleString()
     parts = left.groupBy("a", "b").cogroup(right.groupBy("a", "b")).applyInPandas(pairs, f"src {kind}, dst {kind}, distance double")

@@ -507,7 +507,7 @@ kn AS (SELECT * FROM dd QUALIFY row_number() OVER (PARTITION BY src ORDER BY dis
 
 
 def _near(spark, d):
-    return graph.neighbours(vectors(spark, d).where("cell < 300"), 8)
+    return graph.neighbours(vectors(spark, d), 8)
 
 
 @query(f"WITH {KNN} SELECT src, dst, distance FROM kn")
@@ -517,7 +517,7 @@ def knn_join(spark, d):
 
 @query(f"WITH {KNN} SELECT src AS cell, g AS gene, avg(v.e[g + 1]) AS value FROM kn JOIN v ON v.vec_id = dst, range(3) t(g) GROUP BY src, g")
 def knn_smooth(spark, d):
-    rows = vectors(spark, d).where("cell < 300").select("cell", F.posexplode("vector").alias("gene", "value")).where("gene < 3").select("cell", F.col("gene").cast("long").alias("gene"), F.col("value").cast("double").alias("value"))
+    rows = vectors(spark, d).select("cell", F.posexplode("vector").alias("gene", "value")).select("cell", F.col("gene").cast("long").alias("gene"), F.col("value").cast("double").alias("value"))
     return graph.smooth(rows, _near(spark, d))
 
 
@@ -537,7 +537,7 @@ def knn_affinity_smarkov(spark, d):
 @query(f"""WITH {MARKOV}, m AS (SELECT src, dst, w / sum(w) OVER (PARTITION BY src) AS w FROM sy), x0 AS (SELECT vec_id AS cell, e[1] AS x FROM v), x1 AS (SELECT src AS cell, sum(w * x) AS x FROM m JOIN x0 ON cell = dst GROUP BY src),
 x2 AS (SELECT src AS cell, sum(w * x) AS x FROM m JOIN x1 ON cell = dst GROUP BY src) SELECT src AS cell, 0 AS gene, sum(w * x) AS value FROM m JOIN x2 ON cell = dst GROUP BY src""")
 def markov_imputation(spark, d):
-    rows = vectors(spark, d).where("cell < 300").select("cell", F.lit(0).alias("gene"), F.get("vector", F.lit(0)).cast("double").alias("value"))
+    rows = vectors(spark, d).select("cell", F.lit(0).alias("gene"), F.get("vector", F.lit(0)).cast("double").alias("value"))
     return graph.power(graph.normalise(graph.affinity(_near(spark, d)), "markov"), rows, 3)
 
 
