@@ -61,3 +61,14 @@ def test_neighbours_match_brute_force(spark, monkeypatch):
     for r in got.orderBy("src", "rank").collect():
         found[r["src"]].append(r["dst"])
     assert found == want
+
+
+@pytest.mark.parametrize("name", ["bh_fdr", "gsea_es"])
+def test_tests_over_all_parts(spark, sql, name):
+    same_rows(spark, sql, name, [(" WHERE p_partkey < 1500", ""), (" WHERE p_partkey < 1999", "")])
+
+
+def test_permuted_scores_count_all_parts(spark):
+    n = pq.read_metadata(f"{DIR}/part.parquet").num_rows
+    got = QUERIES["gsea_permuted"](spark, DIR).toPandas()
+    assert got["n_hits"].sum() == n
