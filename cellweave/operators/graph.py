@@ -214,35 +214,6 @@ def communities(weights: DataFrame, rounds: int = 20) -> DataFrame:
     return now
 
 
-def tsne(vectors: pd.DataFrame, perplexity: float = 30.0, rounds: int = 300, seed: int = 1) -> pd.DataFrame:
-    """id, x, y by exact gradient descent on the driver, for a bounded sample of rows (id, vector)."""
-    data = np.stack(vectors["vector"].tolist()).astype(float)
-    n = len(data)
-    d = ((data[:, None, :] - data[None, :, :]) ** 2).sum(2)
-    p = np.zeros((n, n))
-    for i in range(n):
-        lo, hi, beta = 0.0, np.inf, 1.0
-        for _ in range(50):
-            e = np.exp(-(d[i] - np.delete(d[i], i).min()) * beta)
-            e[i] = 0
-            q = e / e.sum()
-            h = -(q[q > 0] * np.log(q[q > 0])).sum()
-            if abs(h - np.log(min(perplexity, max(2.0, (n - 1) / 3)))) < 1e-5:
-                break
-            lo, hi = (beta, hi) if h > np.log(min(perplexity, max(2.0, (n - 1) / 3))) else (lo, beta)
-            beta = beta * 2 if hi == np.inf else (lo + hi) / 2
-        p[i] = q
-    p = np.maximum((p + p.T) / (2 * n), 1e-12)
-    y, move = np.random.default_rng(seed).normal(0, 1e-4, (n, 2)), np.zeros((n, 2))
-    for k in range(rounds):
-        w = 1 / (1 + ((y[:, None, :] - y[None, :, :]) ** 2).sum(2))
-        np.fill_diagonal(w, 0)
-        g = (p * (12 if k < 100 else 1) - w / w.sum()) * w
-        move = (0.5 if k < 100 else 0.8) * move - 200 * 4 * ((np.diag(g.sum(1)) - g) @ y) / 4
-        y = y + np.clip(move, -5, 5)
-    return pd.DataFrame({"id": vectors["id"].to_numpy(), "x": y[:, 0] - y[:, 0].mean(), "y": y[:, 1] - y[:, 1].mean()})
-
-
 def tree_paths(merges: DataFrame) -> DataFrame:
     """node, ancestor pairs of a dendrogram given as edges (parent, child), itself included, by doubling joins.
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cellweave.functions import dna
 from cellweave.functions import status as S
-from cellweave.operators import annotation, barcodes, cellqc, graph, platforms, rmt, stats, testing
+from cellweave.operators import annotation, barcodes, cellqc, embedding, graph, platforms, rmt, stats, testing
 from cellweave.operators import counts as C
 from cellweave.operators import reads as R
 from cellweave.sources import readers
@@ -559,8 +559,7 @@ def phenograph_like(spark, d):
 
 @query()
 def tsne(spark, d):
-    rows = vectors(spark, d).where("cell < 120").select(F.col("cell").alias("id"), "vector").orderBy("id").toPandas()
-    return spark.createDataFrame(graph.tsne(rows, rounds=120))
+    return spark.createDataFrame(embedding.tsne(vectors(spark, d)))
 
 
 # ---- sources as queries

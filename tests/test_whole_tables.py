@@ -8,7 +8,7 @@ import pyarrow.parquet as pq
 import pytest
 
 import __spark_entry__
-from cellweave.operators import graph
+from cellweave.operators import embedding, graph
 
 from .test_queries import plain
 
@@ -72,3 +72,32 @@ def test_permuted_scores_count_all_parts(spark):
     n = pq.read_metadata(f"{DIR}/part.parquet").num_rows
     got = QUERIES["gsea_permuted"](spark, DIR).toPandas()
     assert got["n_hits"].sum() == n
+
+
+def test_pushes_on_the_grid_are_those_of_all_pairs():
+    rng = np.random.default_rng(6)
+    for spread in (0.01, 3.0, 10.0):
+        y = rng.normal(0, spread, (1500, 2))
+        (exact, total), (near, about) = embedding.pushes(y), embedding.grid_pushes(y)
+        assert abs(about / total - 1) < 0.02
+        assert np.linalg.norm(near - exact) < 0.02 * np.linalg.norm(exact)
+
+
+@pytest.mark.parametrize("exact", [2_000, 0])
+def test_tsne_places_all_rows_by_their_groups(spark, monkeypatch, exact):
+    monkeypatch.setattr(embedding, "EXACT", exact)
+    rng = np.random.default_rng(7)
+    group = np.arange(240) % 3
+    x = rng.normal(size=(240, 8)) + 20 * np.eye(8)[group]
+    got = embedding.tsne(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "cell long, vector array<double>")).sort_values("id")
+    assert got["id"].tolist() == list(range(240))
+    y = got[["x", "y"]].to_numpy()
+    d = ((y[:, None] - y[None]) ** 2).sum(2)
+    np.fill_diagonal(d, np.inf)
+    assert (group[d.argmin(1)] == group).mean() > 0.98
+
+
+def test_tsne_query_has_all_vectors(spark):
+    ids = set(pq.read_table(f"{DIR}/embeddings.parquet")["vec_id"].to_pylist())
+    got = QUERIES["tsne"](spark, DIR).toPandas()
+    assert set(got["id"]) == ids and len(got) == len(ids) and np.isfinite(got[["x", "y"]].to_numpy()).all()
