@@ -437,7 +437,7 @@ def pearson_by_gene(spark, d):
 s AS (SELECT c, g, row_number() OVER w AS k, avg(x) OVER f AS sx, avg(y) OVER f AS sy FROM e JOIN v USING (vec_id) WINDOW w AS (PARTITION BY c, g ORDER BY x, vec_id), f AS (PARTITION BY c, g ORDER BY x, vec_id ROWS 9 PRECEDING))
 SELECT CAST(c AS INTEGER) AS component, CAST(g AS INTEGER) AS gene, corr(sx, sy) AS r FROM s WHERE k > 10 GROUP BY c, g""")
 def eigv_smoothed_corr(spark, d):
-    rows = vectors(spark, d).where("cell < 400").select("cell", F.posexplode("vector").alias("i", "x")).withColumn("x", F.col("x").cast("double"))
+    rows = vectors(spark, d).select("cell", F.posexplode("vector").alias("i", "x")).withColumn("x", F.col("x").cast("double"))
     return stats.smoothed_correlation(rows.where("i < 4").withColumnRenamed("i", "component"), rows.where("i >= 10 and i < 15").select("cell", F.col("i").alias("gene"), F.col("x").alias("value")))
 
 
