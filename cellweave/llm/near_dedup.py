@@ -5,7 +5,7 @@ hash evaluations for each shingle. Bands of four values give the candidates: a p
 0.75 shares one of 42 bands but for one in ten million. Links are confirmed on full sets.
 
 Copies with the same word sequence are one candidate. Each bucket first offers the pairs of its
-members with its smallest identifier; after the links found so far have joined components, buckets
+members with its smallest number; after the links found so far have joined components, buckets
 that still hold several components offer the pairs between different ones. A pair is offered by the
 first band that it shares and only if sizes and sketches of 2,048 values (five standard deviations
 under the threshold) allow a link; the join tests this before it makes a row. No task holds a bucket.
@@ -13,6 +13,7 @@ under the threshold) allow a link; the join tests this before it makes a row. No
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +33,7 @@ WORDS, PERCENT, PERMUTATIONS, ROWS, SKETCH, PLANES = 5, 75, 84, 4, 1024, 2
 CHARS = 1 << 19
 
 _LONG, _LONGS = T.LongType(), T.ArrayType(T.LongType())
-SIGNATURE = T.StructType([T.StructField("doc_id", _LONG), T.StructField("k1", _LONG), T.StructField("k2", _LONG), T.StructField("n_shingles", _LONG), T.StructField("bands", _LONGS)])
+SIGNATURE = T.StructType([T.StructField("doc_id", _LONG), T.StructField("digest", T.StringType()), T.StructField("k1", _LONG), T.StructField("k2", _LONG), T.StructField("n_shingles", _LONG), T.StructField("bands", _LONGS)])
 FULL = T.StructType([T.StructField("doc_id", _LONG), T.StructField("n", _LONG), T.StructField("sketch", _LONGS), T.StructField("hashes", T.BinaryType())])
 NONE = -(2**63)
 
@@ -48,16 +49,16 @@ def _pieces(texts: list[str]) -> Iterator[slice]:
 
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, k1 and k2 (128 bits of the word sequence), n_shingles, bands (none for an empty set)."""
+    """doc_id, digest (MD5 of the text), k1 and k2 (128 bits of the word sequence), n_shingles, bands (none for an empty set)."""
 
     def columns(ids: list, texts: list) -> list:
-        out: list[list] = [ids, [], [], [], []]
+        out: list[list] = [ids, [hashlib.md5(t.encode()).hexdigest() for t in texts], [], [], [], []]
         for piece in _pieces(texts):
             words, counts = word_hashes([t.encode() for t in texts[piece]])
             sets = shingle_sets(words, counts, WORDS)
             k1, k2 = sequence_keys(words, counts)
             bands = band_keys(min_max_signatures(sets, PERMUTATIONS), ROWS)
-            for to, made in zip(out[1:], (k1.tolist(), k2.tolist(), [len(s) for s in sets], [b if len(s) else [] for b, s in zip(bands, sets, strict=True)]), strict=True):
+            for to, made in zip(out[2:], (k1.tolist(), k2.tolist(), [len(s) for s in sets], [b if len(s) else [] for b, s in zip(bands, sets, strict=True)]), strict=True):
                 to += made
         return out
 
@@ -114,24 +115,24 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "ah", "bh").mapInArrow(test, "a long, b long")
 
 
-def near_groups(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of docs: doc_id, n_shingles, component_id, kept.
+def _grouped(docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """doc_id (NONE for null), digest, n_shingles, component_id, kept of every row.
 
-    Null, empty and blank texts have no shingles and link with nothing; texts of fewer words than a
-    shingle are one shingle. A null identifier counts as the smallest, and its component is null.
-    Rows that repeat an identifier are one node: they link through it.
+    Nodes are the distinct word sequences, under numbers of their own; a node stands for its rows, of
+    which the first by identifier and digest is shown to the sketches.
     """
-    ident = F.coalesce(F.col(id_col).cast("long"), F.lit(NONE).cast("long"))
-    own = docs.select(ident.alias("doc_id"), F.col(text_col).alias("text"))
-    rows = written(signatures(own), "signatures")
-    first = written(rows.where("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")), "first")
-    members = written(rows.select("doc_id", "k1", "k2", "n_shingles").join(first, ["k1", "k2"], "left").select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep")), "members")
-    alone = rows.join(first.select(F.col("rep").alias("doc_id"), "k1", "k2"), ["doc_id", "k1", "k2"], "left_semi")
-    banded = written(alone.select("doc_id", F.explode("bands").alias("band")).distinct(), "banded")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    own = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NONE).cast("long")).alias("doc_id"), text.alias("text"))
+    rows = written(signatures(own).withColumn("row", F.monotonically_increasing_id()), "signatures")
+    rep = rows.where("n_shingles > 0").groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "digest", "row")).alias("rep"))
+    first = written(rep.withColumn("node", F.monotonically_increasing_id()), "first")
+    alone = rows.join(first.select(F.col("rep.row").alias("row"), "node"), "row")
+    banded = written(alone.select(F.col("node").alias("doc_id"), F.explode("bands").alias("band")).distinct(), "banded")
     heads = banded.groupBy("band").agg(F.min("doc_id").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "head")
     buckets = written(banded.join(heads, "band"), "buckets")
-    wanted = buckets.select("doc_id").distinct()
-    sets = written(full_sets(own.join(wanted, "doc_id", "left_semi")).dropDuplicates(["doc_id"]), "sets")
+    wanted = first.join(buckets.select(F.col("doc_id").alias("node")).distinct(), "node").select("rep.doc_id", "rep.digest", "node")
+    shown = own.withColumn("digest", F.md5(F.col("text").cast("binary"))).join(wanted, ["doc_id", "digest"])
+    sets = written(full_sets(shown, "node").dropDuplicates(["doc_id"]), "sets")
     side = lambda x: sets.select(F.col("doc_id").alias(x), F.col("n").alias(f"{x}n"), F.col("sketch").alias(f"{x}sketch"))
     star = buckets.where("doc_id <> head").select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct()
     links = written(confirmed(star.join(side("a"), "a").join(side("b"), "b").where(may_link(percent)).select("a", "b"), sets, percent), "links")
@@ -147,28 +148,38 @@ def near_groups(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
     cross = a.alias("a").join(b.alias("b"), (F.col("a.band") == F.col("b.band")) & offered).select(F.col("adoc_id").alias("a"), F.col("bdoc_id").alias("b"))
     more = written(confirmed(cross, sets, percent), "more")
 
-    same_id = members.select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).where("a <> b").join(
-        members.groupBy(F.col("doc_id").alias("b")).agg(F.countDistinct("rep").alias("reps")).where("reps > 1").select("b"), "b", "left_semi"
-    ).select("a", "b")
     # components that later links join: the graph is contracted to the first components
     first_of = lambda x: F.coalesce(f"{x}c", x)
-    ends = more.unionByName(same_id)
+    ends = more
     for x in "ab":
         ends = ends.join(label.select(F.col("node").alias(x), F.col("component").alias(f"{x}c")), x, "left")
     joined = connected_components(ends.select(first_of("a").alias("a"), first_of("b").alias("b"))).select(F.col("node").alias("component"), F.col("component").alias("final"))
-    found = members.join(label.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    found = found.join(joined, "component", "left").withColumn("component_id", F.coalesce("final", "component"))
-    shown = lambda c: F.when(F.col(c) != NONE, F.col(c))
+    nodes = first.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    nodes = written(nodes.join(joined, "component", "left").select("k1", "k2", "rep", F.coalesce("final", "component").alias("component")), "nodes")
+    least = nodes.groupBy("component").agg(F.min("rep").alias("least"))
+    found = rows.select("doc_id", "digest", "row", "k1", "k2", "n_shingles").join(nodes.join(least, "component").select("k1", "k2", "least"), ["k1", "k2"], "left")
     return found.select(
-        shown("doc_id").alias("doc_id"), "n_shingles", shown("component_id").alias("component_id"), (F.col("doc_id") == F.col("component_id")).alias("kept")
+        "doc_id", "digest", "n_shingles", F.coalesce("least.doc_id", "doc_id").alias("component_id"), F.coalesce(F.col("row") == F.col("least.row"), F.lit(True)).alias("kept")
     )
 
 
+def near_groups(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of docs: doc_id, n_shingles, component_id, kept.
+
+    Null, empty and blank texts have no shingles, link with nothing and are kept; texts of fewer words
+    than a shingle are one shingle. A component has the smallest identifier of its rows, a null one
+    counting as the smallest, and keeps one row. Rows link by their texts, never by their identifiers.
+    """
+    shown = lambda c: F.when(F.col(c) != NONE, F.col(c)).alias(c)
+    return _grouped(docs, percent, id_col, text_col).select(shown("doc_id"), "n_shingles", shown("component_id"), "kept")
+
+
 def drop_near(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that stay, one of each component, with their own columns.
+    """The rows of docs that stay, one of each component and all without words, with their own columns.
 
-    Of rows that repeat an identifier one stays, whichever comes first.
+    A component's row is known by identifier and text; of rows equal in both, one stays.
     """
-    kept = near_groups(docs, percent, id_col, text_col).where("kept").select(F.coalesce("doc_id", F.lit(NONE).cast("long")).alias("__id")).distinct()
-    keyed = docs.withColumn("__id", F.coalesce(F.col(id_col).cast("long"), F.lit(NONE).cast("long")))
-    return keyed.join(kept, "__id", "left_semi").withColumn("__n", F.row_number().over(Window.partitionBy("__id").orderBy("__id"))).where("__n = 1").select(*docs.columns)
+    kept = _grouped(docs, percent, id_col, text_col).where("kept").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__text"), (F.col("n_shingles") == 0).alias("__all")).distinct()
+    keyed = docs.withColumn("__id", F.coalesce(F.col(id_col).cast("long"), F.lit(NONE).cast("long"))).withColumn("__text", F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
+    both = keyed.join(kept, ["__id", "__text"]).withColumn("__each", F.when(F.col("__all"), F.monotonically_increasing_id()))
+    return both.withColumn("__n", F.row_number().over(Window.partitionBy("__id", "__text", "__each").orderBy("__id"))).where("__n = 1").select(*docs.columns)

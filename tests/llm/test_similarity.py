@@ -63,6 +63,21 @@ def test_near_edges(spark):
     assert near_groups(empty).count() == 0 and drop_near(empty).columns == odd.columns
 
 
+def test_near_rows_link_by_text_alone(spark):
+    random.seed(9)
+    word = lambda: f"w{random.randint(0, 999)}"
+    texts = [[word() for _ in range(60)] for _ in range(6)]
+    near = lambda t: " ".join([*t[:-1], "changed"])
+    plain = [" ".join(t) for t in texts]
+    table = [(None, plain[0]), (None, plain[1]), (None, plain[2]), (7, plain[3]), (7, plain[4]), (11, near(texts[0])), (12, near(texts[1])), (13, near(texts[3])), (14, near(texts[4])), (15, plain[5]), (None, None), (None, "")]
+    random.shuffle(table)
+    odd = docs(spark, table)
+    want = [(7, 7, True)] * 2 + [(11, None, False), (12, None, False), (13, 7, False), (14, 7, False), (15, 15, True)] + [(None, None, True)] * 5
+    assert rows(near_groups(odd), "doc_id", "component_id", "kept") == sorted(want, key=str)
+    left = sorted((r["text"] or "" for r in drop_near(odd).collect()))
+    assert left == sorted([*plain, "", ""])
+
+
 def test_components(spark):
     random.seed(1)
     edges = [(random.randint(0, 300), random.randint(0, 300)) for _ in range(200)] + [(1000 + i, 1001 + i) for i in range(100)]
