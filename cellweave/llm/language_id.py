@@ -28,8 +28,8 @@ BUCKETS, WIDTH, GRAMS, CHUNK = 1 << 16, 16, (2, 3, 4), 1 << 19
 PER_LANGUAGE, EXAMPLE, EPOCHS, STEP, BATCH = 400, 160, 3, 0.5, 64
 #: Share of sampled documents kept out for calibration, and share of these that may be rejected.
 HELD, REJECTED = 0.25, 0.001
-#: The threshold is never above this: texts in two languages have little over a half for either.
-MOST_LEAST = 0.4
+#: A text under the threshold stays if so large a share of its pieces reach it, as those of a text in two languages do.
+PIECES = 0.5
 
 LETTER = re.compile(r"[^\W\d_]")
 BLANK = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
@@ -108,9 +108,18 @@ class Model:
             known = LETTER.search(text) is not None
             lang.append(self.langs[k] if known else UNKNOWN)
             score.append(s if known else 0.0)
-            taken.append(known and s >= self.least)
+            taken.append(known and (s >= self.least or self.mixed(letters(text))))
         return lang, score, taken
 
+    def mixed(self, text: bytes) -> bool:
+        """Whether enough pieces of a prepared text are sure of some language, each on its own."""
+        pieces = [text[k : k + EXAMPLE] for k in range(0, len(text) - EXAMPLE // 2, EXAMPLE)]
+        if len(pieces) < 2:
+            return False
+        z = self.logits(pieces) / self.temperature
+        best = 1 / np.exp(z - z.max(axis=1, keepdims=True)).sum(axis=1)
+        return float((best >= self.least).mean()) >= PIECES
+
 
 def train(rows: list[tuple[int, str, str]], seed: int = 0) -> Model:
     """A model from (identifier, text, language); a fixed order makes reruns agree."""
@@ -166,7 +175,7 @@ def train(rows: list[tuple[int, str, str]], seed: int = 0) -> Model:
     model.temperature = float(grid[np.argmin([-np.log(chances(t)[np.arange(len(y)), y] + 1e-12).mean() for t in grid])])
     right = chances(model.temperature)
     sure = right.max(axis=1)[right.argmax(axis=1) == y]
-    model.least = float(min(MOST_LEAST, np.quantile(sure, REJECTED))) if len(sure) else 0.0
+    model.least = float(np.quantile(sure, REJECTED)) if len(sure) else 0.0
     return model
 
 

@@ -214,3 +214,21 @@ def test_checksums_decide(spark):
     got = {r["doc_id"]: r for r in secret_scan.scan_documents(docs(spark, [(1, "é token=abcdef9 " + good), (2, None), (None, "")])).collect()}
     assert got[1]["spans"] == "assign:2:15,github:16:56" and got[1]["n_assign"] == 1
     assert got[1]["base_sha256"] == hashlib.sha256(b"assign:2:15").hexdigest() and got[2]["spans"] == "" and got[None]["base_sha256"] == hashlib.sha256(b"").hexdigest()
+
+
+def test_foreign_and_random_texts_go(spark):
+    table = [r.asDict() for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang").collect()]
+    table = [r for r in table if r["lang"] and r["text"] and language_id.LETTER.search(r["text"])]
+    held = [r for r in table if zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2]
+    rng = random.Random(3)
+    noise = [" ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 10))) for _ in range(80)) for _ in range(100)]
+    langs = sorted({r["lang"] for r in table})
+    for known in (langs, langs[:-1], langs[:2]):
+        model = language_id.train([(r["doc_id"], r["text"], r["lang"]) for r in table if r["lang"] in known and zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2])
+        share = lambda texts: np.mean(model.predict(texts)[2])
+        by = [[r["text"][:600] for r in held if r["lang"] == x] for x in known[:2]]
+        assert share([r["text"] for r in held if r["lang"] in known]) > 0.99
+        assert share([f"{a} {b}" for a, b in zip(*by)]) > 0.9
+        assert share(noise) < 0.05
+        if known != langs:
+            assert share([r["text"] for r in table if r["lang"] not in known]) < 0.1
