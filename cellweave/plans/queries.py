@@ -473,19 +473,19 @@ def gsea_es(spark, d):
 
 @query()
 def gsea_permuted(spark, d):
-    return stats.gsea(*_ranks(spark, d), permutations=200)
+    return stats.gsea(*_ranks(spark, d))
 
 
 @query()
 def resampled_rank_test(spark, d):
     m = _matrix(spark, d)
-    return stats.resampled_tests(m, labels(m, 2), n_iter=4).select("gene", "statistic", "lo", "hi", "p", "q")
+    return stats.resampled_tests(m, labels(m, 2)).select("gene", "statistic", "lo", "hi", "p", "q")
 
 
 @query()
 def bootstrap_welch(spark, d):
     m = _matrix(spark, d)
-    return stats.bootstrap_t(m, labels(m, 2), 0, 1, n_samples=10)
+    return stats.bootstrap_t(m, labels(m, 2), 0, 1)
 
 
 @query()
@@ -543,7 +543,7 @@ def markov_imputation(spark, d):
 
 @query()
 def diffusion_eigs(spark, d):
-    _, pairs = graph.eigenpairs(graph.normalise(graph.affinity(_near(spark, d)), "smarkov"), k=3, rounds=4)
+    _, pairs = graph.eigenpairs(graph.normalise(graph.affinity(_near(spark, d)), "smarkov"), k=3)
     return pairs
 
 
@@ -554,7 +554,7 @@ def pca_project(spark, d):
 
 @query()
 def phenograph_like(spark, d):
-    return graph.communities(graph.jaccard_edges(_near(spark, d)), rounds=4)
+    return graph.communities(graph.jaccard_edges(_near(spark, d)))
 
 
 @query()

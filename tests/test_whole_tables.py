@@ -1,5 +1,6 @@
 """Queries over whole tables: each row of the table counts, as row and as neighbour."""
 
+import inspect
 import os
 
 import duckdb
@@ -8,7 +9,7 @@ import pyarrow.parquet as pq
 import pytest
 
 import __spark_entry__
-from cellweave.operators import embedding, graph
+from cellweave.operators import embedding, graph, stats
 
 from .test_queries import plain
 
@@ -105,3 +106,20 @@ def test_tsne_query_has_all_vectors(spark):
 
 def test_smoothed_correlation_over_all_vectors(spark, sql):
     same_rows(spark, sql, "eigv_smoothed_corr", [(" WHERE vec_id < 400", "")])
+
+
+@pytest.mark.parametrize("name, module, operator", [("diffusion_eigs", graph, "eigenpairs"), ("phenograph_like", graph, "communities"), ("gsea_permuted", stats, "gsea"), ("resampled_rank_test", stats, "resampled_tests"), ("bootstrap_welch", stats, "bootstrap_t")])
+def test_queries_do_the_work_of_the_defaults(spark, monkeypatch, name, module, operator):
+    class Called(Exception):
+        pass
+
+    signature = inspect.signature(getattr(module, operator))
+
+    def called(*args, **named):
+        bound = signature.bind(*args, **named).arguments
+        raise Called({k: v for k, v in bound.items() if k in ("rounds", "permutations", "n_iter", "n_samples")})
+
+    monkeypatch.setattr(module, operator, called)
+    with pytest.raises(Called) as found:
+        QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert found.value.args[0] == {}
