@@ -12,7 +12,6 @@ runs twice, or whose executor is lost, leaves the same file.
 
 from __future__ import annotations
 
-import re
 import struct
 import uuid
 import zlib
@@ -29,6 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .arrow import text_slices
 from .shared import shared_path, written
 
 MAGIC, HEADER = b"CWPLANE1", struct.Struct("<8sIB3x")
@@ -36,8 +36,48 @@ MAGIC, HEADER = b"CWPLANE1", struct.Struct("<8sIB3x")
 BLOCK, LEVEL = 1 << 16, 1
 #: Words whose ids a worker keeps; when full, the later half goes, as frequent words come early.
 KEPT_WORDS = 1_000_000
+#: Characters encoded at once.
+CHARS = 1 << 21
+GAP = np.zeros(256, bool)
+GAP[[9, 10, 11, 12, 13, 32]] = True
 #: A mark of punctuation between a letter and white space is a word of its own to the tokenizer.
-LAST_MARK = re.compile(rb"(?<=[a-z])([.,;:!?])(?=[ \n]|$)")
+MARK, LETTER = np.zeros(256, bool), np.zeros(256, bool)
+MARK[list(b".,;:!?")] = True
+LETTER[ord("a") : ord("z") + 1] = True
+#: Masks of the lowest bytes of a 64-bit value, by their number.
+_LOW = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, ends) of the words of bytes that end with white space."""
+    gap = GAP[data]
+    after, before = np.append(gap[1:], True), np.append(True, gap[:-1])
+    alone = MARK[data] & after & np.append(False, LETTER[data[:-1]])
+    starts = np.flatnonzero(~gap & (before | alone))
+    return starts, np.flatnonzero(~gap & (after | np.append(alone[1:], False))) + 1
+
+
+def distinct_words(raw: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """(distinct words, each word's place among them). raw has 16 bytes after the last word."""
+    lens = ends - starts
+    at = np.lib.stride_tricks.as_strided(np.frombuffer(raw, "<u8", 1), (len(raw) - 7,), (1,))
+    low = at[starts] & _LOW[np.minimum(lens, 8)]
+    high = at[np.minimum(starts + 8, len(raw) - 8)] & _LOW[np.clip(lens - 8, 0, 8)]
+    wide = np.flatnonzero(lens > 16)
+    if len(wide):  # a long word is known by a number of its own
+        number: dict[bytes, int] = {}
+        low[wide] = [number.setdefault(raw[a:b], len(number)) for a, b in zip(starts[wide].tolist(), ends[wide].tolist(), strict=True)]
+        high[wide] = 0
+        lens = np.minimum(lens, 17)
+    mix = (low * np.uint64(0x9E3779B97F4A7C15)) ^ ((high + lens.astype(np.uint64)) * np.uint64(0xC2B2AE3D27D4EB4F))
+    _, first, place = np.unique(mix ^ (mix >> np.uint64(29)), return_index=True, return_inverse=True)
+    words = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+    same = first[place]
+    if not ((low == low[same]) & (high == high[same]) & (lens == lens[same])).all():  # two words of one mix
+        known: dict[bytes, int] = {}
+        place = np.array([known.setdefault(raw[a:b], len(known)) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], np.int64)
+        words = list(known)
+    return words, place
 
 
 def to_planes(ids: np.ndarray, bits: bool) -> list[bytes]:
@@ -153,64 +193,67 @@ class WordEncoder:
 
     def clear(self) -> None:
         self.number: dict[bytes, int] = {b"": 0}
-        self.flat, self.stops, self.size = [np.array([self.end], np.uint32)], [np.array([0, 1], np.int64)], 1
+        self.flat, self.stops, self.size = np.full(1 << 16, self.end, np.uint32), np.ones(1 << 16, np.int64), 1
+        self.stops[0] = 0
 
     def halve(self) -> None:
         half = len(self.number) // 2 + 1
         self.number = dict(islice(self.number.items(), half))
-        stops = np.concatenate(self.stops)[: half + 1]
-        self.size = int(stops[-1])
-        self.flat, self.stops = [np.concatenate(self.flat)[: self.size].copy()], [stops.copy()]
+        self.size = int(self.stops[half])
 
     def learn(self, new: list[bytes]) -> None:
         mark = self.mark.encode()
         plain = [w for w in new if mark not in w]
-        odd = [w for w in new if mark in w]
-        parts = [np.array(self.encode(w.decode()), np.uint32) for w in odd]
+        alone = [w for w in new if mark in w]
         for k in range(0, len(plain), 1000):
             some = plain[k : k + 1000]
             ids = np.array(self.encode(f" {self.mark} ".join(w.decode() for w in some) + f" {self.mark}"), np.uint32)
             cut = np.flatnonzero(ids == self.mark_id)
-            lens = np.diff(cut, prepend=-1) - 1
-            if len(cut) != len(some):
-                raise ValueError("the mark occurs in a word")
-            self._keep(some, lens, ids[ids != self.mark_id])
-        if odd:
-            self._keep(odd, np.array([len(p) for p in parts], np.int64), np.concatenate(parts))
+            if len(cut) == len(some):
+                self._keep(some, np.diff(cut, prepend=-1) - 1, ids[ids != self.mark_id])
+            else:  # a word's normal form holds the mark
+                alone += some
+        if alone:
+            parts = [np.array(self.encode(w.decode()), np.uint32) for w in alone]
+            self._keep(alone, np.array([len(p) for p in parts], np.int64), np.concatenate(parts))
 
     def _keep(self, words: list[bytes], lens: np.ndarray, ids: np.ndarray) -> None:
         n = len(self.number)
         self.number.update(zip(words, range(n, n + len(words)), strict=True))
-        self.stops.append(self.size + np.cumsum(lens))
-        self.flat.append(ids)
+        if n + len(words) >= len(self.stops):
+            self.stops = np.resize(self.stops, 2 * (n + len(words)))
+        if self.size + len(ids) > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * (self.size + len(ids)))
+        self.stops[n + 1 : n + 1 + len(words)] = self.size + np.cumsum(lens)
+        self.flat[self.size : self.size + len(ids)] = ids
         self.size += len(ids)
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(number of ids of each text with its end id, all those ids)."""
         if len(self.number) > KEPT_WORDS:
             self.halve()
-        words: list[bytes] = []
-        counts, whole = np.zeros(len(texts), np.int64), {}
-        for i, text in enumerate(texts):
-            raw = text.encode().lower()
-            if b"<|" in raw and any(s in raw for s in self.special):
-                whole[i] = np.array(self.encode(text), np.uint32)
-                own = []
-            else:
-                own = LAST_MARK.sub(rb" \1", raw).split()
-            counts[i] = len(own) + 1
-            words += own
-            words.append(b"")
+        raws = [t.encode().lower() for t in texts]
+        whole = {i: np.array(self.encode(texts[i]), np.uint32) for i, r in enumerate(raws) if b"<|" in r and any(s in r for s in self.special)}
+        for i in whole:
+            raws[i] = b""
+        raw = b" ".join(raws) + b" " * 17
+        starts, ends = word_bounds(np.frombuffer(raw, np.uint8))
+        words, place = distinct_words(raw, starts, ends)
         number = self.number
-        if new := [w for w in dict.fromkeys(words) if w not in number]:
+        if new := [w for w in words if w not in number]:
             self.learn(new)
-        at = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
-        self.flat, self.stops = [np.concatenate(self.flat)], [np.concatenate(self.stops)]
-        start, lens = self.stops[0][at], self.stops[0][at + 1] - self.stops[0][at]
+        kept = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+        # the words of each text, and then the end, which is number 0
+        stops = np.searchsorted(starts, np.cumsum([len(r) + 1 for r in raws]))
+        last = stops + np.arange(len(raws))
+        at = np.zeros(len(starts) + len(raws), np.int64)
+        own = np.ones(len(at), bool)
+        own[last] = False
+        at[own] = kept[place]
+        start, lens = self.stops[at], self.stops[at + 1] - self.stops[at]
         ends = np.cumsum(lens)
-        ids = self.flat[0][np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - lens), lens)]
-        last = np.cumsum(counts) - 1
-        sizes = np.diff(ends[last], prepend=0) if len(last) else counts
+        ids = self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - lens), lens)]
+        sizes = np.diff(ends[last], prepend=0)
         for i in sorted(whole, reverse=True):
             o = int(ends[last[i]]) - 1
             ids = np.concatenate([ids[:o], whole[i], ids[o:]])
@@ -240,17 +283,13 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int = 1, block: i
         store, top = fs.FileSystem.from_uri(folder)
         own = f"{top}/{shard:08d}.{uuid.uuid4().hex}"
         for b in batches:
-            ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
             at = 0
-            while at < len(ids):  # about a megabyte at a time
-                stop, chars = at, 0
-                while stop < len(ids) and chars < 1 << 20:
-                    chars, stop = chars + len(texts[stop]), stop + 1
+            for texts in text_slices(b.column(1), CHARS):
                 if writer is None:
                     store.create_dir(top, recursive=True)
                     writer = Writer(store.open_output_stream(own), block, bits)
-                writer.add(ids[at:stop], *encoder(texts[at:stop]))
-                at = stop
+                writer.add(b.column(0).slice(at, len(texts)).to_pylist(), *encoder(texts))
+                at += len(texts)
         if writer is not None:
             writer.close()
             writer.out.close()
