@@ -1,14 +1,17 @@
 """MinHash near-dedup with min-max hashing.
 
 Each permutation gives a set's smallest and largest hash, so a signature of 168 values takes 84
-hash evaluations for each shingle. Bands of four values give the candidates: a pair at similarity
-0.75 shares one of 42 bands but for one in ten million. Links are confirmed on full sets.
+hash evaluations for each shingle. Bands of four values, of four permutations each, give the
+candidates: a pair at similarity 0.75 shares none of 42 bands with probability 1.2e-7 (a band of
+smallest and largest values of the same permutations would lose more of small sets, where the two
+rule one another out). Links are confirmed on full sets.
 
 Copies with the same word sequence are one candidate. Each bucket first offers the pairs of its
 members with its smallest number; after the links found so far have joined components, buckets
 that still hold several components offer the pairs between different ones. A pair is offered by the
 first band that it shares and only if sizes and sketches of 2,048 values (five standard deviations
-under the threshold) allow a link; the join tests this before it makes a row. No task holds a bucket.
+under the threshold) allow a link; the join tests this before it makes a row. Buckets are cut into
+tiles of about TILE members: a task compares two tiles, and a document's set goes once to each tile.
 """
 
 from __future__ import annotations
@@ -29,8 +32,8 @@ from .shingles import band_keys, min_max_signatures, sequence_keys, shingle_sets
 
 #: Words in a shingle; similarity in hundredths; permutations and values in a band; permutations of a sketch and bits of its values.
 WORDS, PERCENT, PERMUTATIONS, ROWS, SKETCH, PLANES = 5, 75, 84, 4, 1024, 2
-#: Documents hashed at once hold about so many characters.
-CHARS = 1 << 19
+#: Documents hashed at once hold about so many characters; members of a bucket in a tile.
+CHARS, TILE = 1 << 19, 2048
 
 _LONG, _LONGS = T.LongType(), T.ArrayType(T.LongType())
 SIGNATURE = T.StructType([T.StructField("doc_id", _LONG), T.StructField("digest", T.StringType()), T.StructField("k1", _LONG), T.StructField("k2", _LONG), T.StructField("n_shingles", _LONG), T.StructField("bands", _LONGS)])
@@ -98,10 +101,19 @@ def may_link(percent: int) -> Column:
     return (F.least("an", "bn") * 100 >= F.greatest("an", "bn") * percent) & (differ <= int((1 - least) * values))
 
 
+def tiles(n: Column) -> Column:
+    return F.ceil(n / TILE).cast("int")
+
+
+def beside(pairs: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
+    """pairs(a, salt, b) with the columns of a and of b; those of a go once to each salt of theirs."""
+    return pairs.join(pairs.select("a", "salt").distinct().join(a, "a"), ["a", "salt"]).join(b, "b")
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs(a, b) whose full sets are similar enough."""
-    hashes = sets.select("doc_id", "hashes")
-    both = pairs.join(hashes.select(F.col("doc_id").alias("a"), F.col("hashes").alias("ah")), "a").join(hashes.select(F.col("doc_id").alias("b"), F.col("hashes").alias("bh")), "b")
+    """The pairs(a, salt, b) whose full sets are similar enough, as a and b."""
+    a, b = (sets.select(F.col("doc_id").alias(x), F.col("hashes").alias(f"{x}h")) for x in "ab")
+    both = beside(pairs, a, b)
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -128,25 +140,32 @@ def _grouped(docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataF
     first = written(rep.withColumn("node", F.monotonically_increasing_id()), "first")
     alone = rows.join(first.select(F.col("rep.row").alias("row"), "node"), "row")
     banded = written(alone.select(F.col("node").alias("doc_id"), F.explode("bands").alias("band")).distinct(), "banded")
-    heads = banded.groupBy("band").agg(F.min("doc_id").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "head")
-    buckets = written(banded.join(heads, "band"), "buckets")
+    heads = banded.groupBy("band").agg(F.min("doc_id").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    buckets = written(banded.join(heads, "band").select("band", "doc_id", "head", F.pmod(F.hash("doc_id"), tiles(F.col("n"))).alias("salt")), "buckets")
     wanted = first.join(buckets.select(F.col("doc_id").alias("node")).distinct(), "node").select("rep.doc_id", "rep.digest", "node")
     shown = own.withColumn("digest", F.md5(F.col("text").cast("binary"))).join(wanted, ["doc_id", "digest"])
     sets = written(full_sets(shown, "node").dropDuplicates(["doc_id"]), "sets")
     side = lambda x: sets.select(F.col("doc_id").alias(x), F.col("n").alias(f"{x}n"), F.col("sketch").alias(f"{x}sketch"))
-    star = buckets.where("doc_id <> head").select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct()
-    links = written(confirmed(star.join(side("a"), "a").join(side("b"), "b").where(may_link(percent)).select("a", "b"), sets, percent), "links")
+    star = written(buckets.where("doc_id <> head").groupBy(F.col("head").alias("a"), F.col("doc_id").alias("b")).agg(F.min("salt").alias("salt")), "star")
+    offered = written(beside(star, side("a"), side("b")).where(may_link(percent)).select("a", "salt", "b"), "offered")
+    links = written(confirmed(offered, sets, percent), "links")
 
     label = connected_components(links)
     placed = buckets.join(label.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select("band", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    several = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("band")
-    open_ = placed.join(several, "band", "left_semi")
+    several = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("members")).where("lo <> hi").select("band", tiles(F.col("members")).alias("tiles"))
+    open_ = written(placed.join(several, "band").withColumn("tile", F.pmod(F.hash("doc_id"), F.col("tiles"))), "open")
     bands = open_.groupBy("doc_id").agg(F.sort_array(F.collect_list("band")).alias("bands"))
-    full = written(open_.join(bands, "doc_id").join(sets.select("doc_id", "n", "sketch"), "doc_id"), "open")
-    a, b = (full.select("band", *[F.col(c).alias(f"{x}{c}") for c in ("doc_id", "component", "bands", "n", "sketch")]) for x in "ab")
-    offered = (F.col("adoc_id") < F.col("bdoc_id")) & (F.col("acomponent") != F.col("bcomponent")) & may_link(percent) & (F.array_min(F.array_intersect("abands", "bbands")) == F.col("a.band"))
-    cross = a.alias("a").join(b.alias("b"), (F.col("a.band") == F.col("b.band")) & offered).select(F.col("adoc_id").alias("a"), F.col("bdoc_id").alias("b"))
-    more = written(confirmed(cross, sets, percent), "more")
+    full = written(open_.join(bands, "doc_id").join(sets.select("doc_id", "n", "sketch"), "doc_id"), "full")
+    facts = ("doc_id", "component", "bands", "n", "sketch", "tile")
+    a, b = (full.select("band", "tiles", *[F.col(c).alias(f"{x}{c}") for c in facts]) for x in "ab")
+    # a pair of tiles is one key: the member of the lower tile is on the left
+    a = a.withColumn("low", F.col("atile")).withColumn("high", F.explode(F.sequence("atile", F.col("tiles") - 1)))
+    b = b.withColumn("high", F.col("btile")).withColumn("low", F.explode(F.sequence(F.lit(0), "btile")))
+    once = (F.col("a.low") < F.col("a.high")) | (F.col("adoc_id") < F.col("bdoc_id"))
+    new = once & (F.col("acomponent") != F.col("bcomponent")) & may_link(percent) & (F.array_min(F.array_intersect("abands", "bbands")) == F.col("a.band"))
+    meet = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("band", "low", "high")]
+    cross = a.alias("a").join(b.alias("b"), meet[0] & meet[1] & meet[2] & new).select(F.col("adoc_id").alias("a"), F.col("a.high").alias("salt"), F.col("bdoc_id").alias("b"))
+    more = written(confirmed(written(cross, "cross"), sets, percent), "more")
 
     # components that later links join: the graph is contracted to the first components
     first_of = lambda x: F.coalesce(f"{x}c", x)
@@ -175,11 +194,13 @@ def near_groups(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
 
 
 def drop_near(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that stay, one of each component and all without words, with their own columns.
+    """The rows of docs that stay, one of each component and all without words, with their own columns, whatever their names.
 
-    A component's row is known by identifier and text; of rows equal in both, one stays.
+    A component's row is known by identifier and text; of rows equal in both, one stays. Null text
+    counts as empty, a null identifier as the smallest; an empty table stays empty.
     """
-    kept = _grouped(docs, percent, id_col, text_col).where("kept").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__text"), (F.col("n_shingles") == 0).alias("__all")).distinct()
-    keyed = docs.withColumn("__id", F.coalesce(F.col(id_col).cast("long"), F.lit(NONE).cast("long"))).withColumn("__text", F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
-    both = keyed.join(kept, ["__id", "__text"]).withColumn("__each", F.when(F.col("__all"), F.monotonically_increasing_id()))
-    return both.withColumn("__n", F.row_number().over(Window.partitionBy("__id", "__text", "__each").orderBy("__id"))).where("__n = 1").select(*docs.columns)
+    ident, digest = F.coalesce(F.col(id_col).cast("long"), F.lit(NONE).cast("long")), F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
+    kept = _grouped(docs, percent, id_col, text_col).where("kept").select(F.col("doc_id").alias("id"), "digest", (F.col("n_shingles") == 0).alias("blank")).distinct()
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), ident.alias("id"), digest.alias("digest"))
+    both = keyed.join(kept, ["id", "digest"]).withColumn("each", F.when(F.col("blank"), F.monotonically_increasing_id()))
+    return both.withColumn("place", F.row_number().over(Window.partitionBy("id", "digest", "each").orderBy("id"))).where("place = 1").select("row.*")

@@ -106,11 +106,16 @@ def min_max_signatures(sets: list[np.ndarray], permutations: int, seed: int = 7)
 
 
 def band_keys(signatures: np.ndarray, rows: int) -> np.ndarray:
-    """One signed 64-bit key for each band of ``rows`` values, the band's number mixed in."""
-    n = signatures.shape[1] // rows
+    """One signed 64-bit key for each band of ``rows`` values of as many permutations, the band's number mixed in.
+
+    Bands of smallest values come first; those of largest ones join the permutations otherwise.
+    """
+    half = signatures.shape[1] // 2 // rows
+    n, used = 2 * half, half * rows
+    values = np.concatenate([signatures[:, 0::2][:, :used], np.roll(signatures[:, 1::2], rows // 2, axis=1)[:, :used]], axis=1)
     keys = np.zeros((len(signatures), n), np.uint64)
     for r in range(rows):
-        keys = mixed(keys * _STEP + signatures[:, r : n * rows : rows])
+        keys = mixed(keys * _STEP + values[:, r : n * rows : rows])
     return mixed(keys ^ (np.arange(n, dtype=np.uint64) * _BASE)[None, :]).view(np.int64)
 
 
