@@ -22,10 +22,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .arrow import release_memory
+from .shared import written
+
 #: Buckets of subwords, width of embeddings, lengths of subwords, bytes handled at once.
 BUCKETS, WIDTH, GRAMS, CHUNK = 1 << 16, 16, (2, 3, 4), 1 << 19
 #: Labelled documents of each language to learn from, expected; bytes of a training example; passes; step.
 PER_LANGUAGE, EXAMPLE, EPOCHS, STEP, BATCH = 400, 160, 3, 0.5, 64
+#: Labelled documents to learn from in all, expected.
+MOST = 40_000
 #: Share of sampled documents kept out for calibration, and share of these that may be rejected.
 HELD, REJECTED = 0.25, 0.001
 #: A text under the threshold stays if so large a share of its pieces reach it, as those of a text in two languages do.
@@ -183,20 +188,22 @@ def remainder(ident: Column) -> Column:
     return F.coalesce(F.crc32(ident.cast("string").cast("binary")) % 4, F.lit(0))
 
 
-def training_rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int) -> list[tuple[int, str, str]]:
-    """About per_language labelled rows of each language, by a hash; never those held out."""
+def training_rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int, most: int) -> list[tuple[int, str, str]]:
+    """About per_language labelled rows of each language, by a hash, and about ``most`` in all; never those held out."""
     known = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t"), F.col(lang_col).cast("string").alias("l")).where(F.col("t").isNotNull() & F.col("l").isNotNull() & (remainder(F.col("i")) != 2))
-    count = {r["l"]: r["n"] for r in known.groupBy("l").agg(F.count(F.lit(1)).alias("n")).limit(10_000).collect()}
-    if not count:
-        return []
-    share = F.create_map(*[x for k, n in count.items() for x in (F.lit(k), F.lit(min(1.0, per_language / n)))])
-    chosen = known.where(F.pmod(F.xxhash64("i", F.lit(17)), F.lit(1 << 30)) < share[F.col("l")] * (1 << 30))
-    return [(r["i"] or 0, r["t"], r["l"]) for r in chosen.limit(2 * per_language * len(count) + 1000).collect()]
+    count = written(known.groupBy("l").agg(F.count(F.lit(1)).alias("n")), "languages")
+    languages = count.count()
+    each = min(per_language, most / max(1, languages))
+    chosen = known.join(count, "l").where(F.pmod(F.xxhash64("i", F.lit(17)), F.lit(1 << 30)) < F.lit(each * (1 << 30)) / F.col("n"))
+    return [(r["i"] or 0, r["t"], r["l"]) for r in chosen.select("i", "t", "l").limit(int(2 * each * languages) + 1000).collect()]
+
 
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE, seed: int = 0, most: int = MOST) -> Model:
+    """A model from about per_language rows of each language, whose identifier's CRC-32 modulo 4 is not 2.
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE, seed: int = 0) -> Model:
-    """A model from about per_language rows of each language, whose identifier's CRC-32 modulo 4 is not 2."""
-    return train(training_rows(docs, id_col, text_col, lang_col, per_language), seed)
+    Above most / per_language languages each has fewer rows, so that the sample stays bounded; none is left out for its number.
+    """
+    return train(training_rows(docs, id_col, text_col, lang_col, per_language, most), seed)
 
 
 def predict_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -213,17 +220,23 @@ def predict_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", tex
             out = pa.array([i is not None and zlib.crc32(str(i).encode()) % 4 == 2 for i in ids.to_pylist()])
             made = shared.value.predict(texts)
             yield pa.RecordBatch.from_arrays([ids, out, *[pa.array(x, t) for x, t in zip(made, (pa.string(), pa.float64(), pa.bool_()), strict=True)]], names=SCHEMA.names)
+        release_memory()
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(each, SCHEMA)
 
 
 def accepted_documents(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows of docs whose language is recognised with enough confidence, with their own columns."""
+    """The rows of docs whose language is recognised with enough confidence, with their own columns, whatever their names.
+
+    Null, empty and letterless texts go, as does every text where there was nothing to learn from.
+    Rows are judged one by one: repeats share their fate, and an empty table stays empty.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = [t or "" for t in b.column(b.schema.get_field_index(text_col)).to_pylist()]
             yield b.filter(pa.array(shared.value.predict(texts)[2], pa.bool_()))
+        release_memory()
 
     return docs.mapInArrow(each, docs.schema)
