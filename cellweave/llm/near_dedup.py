@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrow import map_documents
+from .arrow import map_documents, release_memory
 from .components import connected_components
 from .shared import written
 from .shingles import band_keys, min_max_signatures, sequence_keys, shingle_sets, sketch_bits, word_hashes
@@ -123,6 +123,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 same = len(x) + len(y) - len(np.union1d(x, y)) if len(x) and len(y) else 0
                 keep.append(100 * same >= percent * (len(x) + len(y) - same) and same > 0)
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+        release_memory()
 
     return both.select("a", "b", "ah", "bh").mapInArrow(test, "a long, b long")
 
