@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cellweave.checkpoints import saved
 from cellweave.functions import dna
 from cellweave.functions import status as S
 
@@ -56,7 +57,7 @@ def tenx_corrections(reads: DataFrame, whitelist: DataFrame) -> DataFrame:
     A whitelisted cell stays; another becomes the observed whitelisted cell at distance one with the
     most reads, ties to the neighbour that comes first by place from the end, then A, C, G, T, N.
     """
-    cells = reads.groupBy("cell").agg(F.sum(S.passes(F.col("status"), "gene_not_unique").cast("long")).alias("n"))
+    cells = saved(reads.groupBy("cell").agg(F.sum(S.passes(F.col("status"), "gene_not_unique").cast("long")).alias("n")))
     known = cells.join(whitelist.select(F.col("barcode").alias("cell")).distinct(), "cell", "left_semi")
     seen = known.where("n > 0")
     rest = cells.join(known.select("cell"), "cell", "left_anti").select("cell")
@@ -76,7 +77,7 @@ def indrop_corrections(reads: DataFrame, whitelists: list[DataFrame], layout: tu
 
     Cells come from reads that pass but for uniqueness. Each part is corrected by its own whitelist.
     """
-    cells = active(reads, "gene_not_unique").select("cell").distinct()
+    cells = saved(active(reads, "gene_not_unique").select("cell").distinct())
     parts = [f"part{i}" for i in range(len(layout))]
     out = cells.select("cell", *[p.alias(n) for p, n in zip(split_barcode(F.col("cell"), layout), parts, strict=True)])
     for name, white in zip(parts, whitelists, strict=True):

@@ -6,6 +6,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cellweave.checkpoints import saved
+
 
 class EmptyMatrixError(ValueError):
     """A count matrix without rows."""
@@ -106,7 +108,7 @@ def low_gene_abundance(sizes: DataFrame, most: float = 0.15) -> DataFrame:
 
 def filter_cells(counts: DataFrame, mt: Column | None = None, most_mt: float = 0.2, coverage: bool = True, low_count: bool = True) -> tuple[DataFrame, DataFrame]:
     """(counts of the cells that stay, cell table with failed_filter): the filters in sequence, each over what is left."""
-    sizes = cell_sizes(counts, mt)
+    sizes = saved(cell_sizes(counts, mt))
     if not sizes.take(1):
         raise EmptyMatrixError("no cells")
     sizes = sizes.withColumn("failed_filter", F.lit(None).cast("string"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cellweave.checkpoints import saved
 from cellweave.functions import status as S
 
 
@@ -75,7 +76,7 @@ def resolve_multimapping(reads: DataFrame) -> tuple[DataFrame, DataFrame]:
     Molecules are the reads of a cell and tag that pass but for uniqueness. Where several gene sets
     of a molecule overlap and have one gene in common, all their reads get that gene.
     """
-    sets = _overlap_components(_molecule_sets(reads))
+    sets = saved(_overlap_components(_molecule_sets(reads)))
     each = sets.select("cell", "rmt", F.size("sets").alias("n_sets"), F.explode(F.arrays_zip(F.col("sets").alias("genes"), F.col("label").alias("label"))).alias("z")).select("cell", "rmt", "n_sets", "z.genes", "z.label")
     parts = each.groupBy("cell", "rmt", "label").agg(F.first("n_sets").alias("n_sets"), F.count(F.lit(1)).alias("size"), F.collect_list("genes").alias("groups"))
     common = F.aggregate(F.slice("groups", 2, F.greatest(F.size("groups") - 1, F.lit(1))), F.get("groups", F.lit(0)), F.array_intersect)

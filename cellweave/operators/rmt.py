@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cellweave.checkpoints import saved
 from cellweave.functions import dna
 from cellweave.functions import status as S
 
@@ -53,15 +54,18 @@ def tag_errors(reads: DataFrame, rate: float = 0.02, alpha: float = 0.05, rates:
     the smallest.
     """
     chance = F.pow(F.lit(rate), F.col("distance")) if rates is None else dna.conversion_probability_table(F.col("donor"), F.col("rmt"), rates)
-    pairs = close_tags(tag_groups(reads)).withColumn("chance", chance).withColumn("covers", F.size(F.array_except("positions", "donor_positions")) == 0)
+    pairs = close_tags(saved(tag_groups(reads))).withColumn("chance", chance).withColumn("covers", F.size(F.array_except("positions", "donor_positions")) == 0)
     best = F.max(F.when(F.col("covers"), F.struct(F.col("donor_n"), (-F.col("donor")).alias("low"))))
     sums = pairs.groupBy("cell", "gene", "rmt").agg(F.first("n").alias("n"), F.sum(F.col("donor_n") * F.col("chance")).alias("expected"), best.alias("best"))
     tail = sums.withColumn("p", poisson_tail(F.col("n"), F.col("expected")))
     return tail.select("cell", "gene", "rmt", "n", "expected", "p", (-F.col("best.low")).alias("donor"), (F.col("best").isNotNull() & (F.col("p") > alpha)).alias("is_error"))
 
 
-def flag_tag_errors(reads: DataFrame, rate: float = 0.02, alpha: float = 0.05) -> DataFrame:
-    """Reads of wrong tags get rmt_error and the donor's tag."""
-    bad = tag_errors(reads, rate, alpha).where("is_error").select("cell", "gene", "rmt", F.col("donor").alias("__donor"))
+def flag_tag_errors(reads: DataFrame, rate: float = 0.02, alpha: float = 0.05, rates: DataFrame | None = None) -> DataFrame:
+    """Reads of wrong tags get rmt_error and the donor's tag. rates(from_b, to_b, rate), of 20 rows, go before rate."""
+    table = None
+    if rates is not None:
+        table = F.create_map(*[F.lit(v) for r in rates.collect() for v in (r["from_b"] * 10 + r["to_b"], float(r["rate"]))])
+    bad = tag_errors(reads, rate, alpha, table).where("is_error").select("cell", "gene", "rmt", F.col("donor").alias("__donor"))
     joined = reads.join(bad, ["cell", "gene", "rmt"], "left").withColumn("__wrong", F.col("__donor").isNotNull() & (F.col("status") == 0))
     return joined.withColumn("status", S.with_flag(F.col("status"), "rmt_error", F.col("__wrong"))).withColumn("rmt", F.when(F.col("__wrong"), F.col("__donor")).otherwise(F.col("rmt"))).select(*reads.columns)

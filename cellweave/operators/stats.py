@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cellweave.checkpoints import saved
 from cellweave.functions import special
 
 from .testing import tsbh_adjust
@@ -30,10 +31,10 @@ def with_zeros(matrix: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _ranked(matrix: DataFrame, labels: DataFrame) -> DataFrame:
     """gene, label, value, n, rank (average over ties of all labels), ties (number of tied cells)."""
-    rows = with_zeros(matrix, labels)
+    rows = saved(with_zeros(saved(matrix.select("cell", "gene", "value")), saved(labels)))
     values = rows.groupBy("gene", "value").agg(F.sum("n").alias("ties"))
     before = F.sum("ties").over(Window.partitionBy("gene").orderBy("value")) - F.col("ties")
-    return rows.join(values.withColumn("rank", before + (F.col("ties") + 1) / 2.0), ["gene", "value"])
+    return saved(rows.join(values.withColumn("rank", before + (F.col("ties") + 1) / 2.0), ["gene", "value"]))
 
 
 def mann_whitney(matrix: DataFrame, labels: DataFrame, first, second) -> DataFrame:
@@ -160,7 +161,8 @@ def jensen_shannon(rows: DataFrame) -> DataFrame:
 
 def median_normalise(counts: DataFrame, value: str = "n_molecules") -> DataFrame:
     """cell, gene, value scaled so that every cell has the median library size."""
-    sizes = counts.groupBy("cell").agg(F.sum(value).alias("size"))
+    counts = saved(counts.select("cell", "gene", value))
+    sizes = saved(counts.groupBy("cell").agg(F.sum(value).alias("size")))
     middle = sizes.agg(F.percentile("size", F.lit(0.5)).alias("m")).first()["m"]
     return counts.join(sizes, "cell").select("cell", "gene", (F.col(value) / F.col("size") * F.lit(middle)).alias("value"))
 

@@ -285,7 +285,7 @@ def lonely_triplets(spark, d):
 # ---- statistics over tests
 
 
-@query("""WITH t AS (SELECT p_partkey, (p_partkey * 37 % 1000 + 1) / 1000.0 AS p FROM part WHERE p_partkey < 1500), r AS (SELECT *, p * count(*) OVER () / count(*) OVER (ORDER BY p RANGE UNBOUNDED PRECEDING) AS raw FROM t)
+@query("""WITH t AS (SELECT p_partkey, (p_partkey * 37 % 1000 + 1) / 1000.0 AS p FROM part), r AS (SELECT *, p * count(*) OVER () / count(*) OVER (ORDER BY p RANGE UNBOUNDED PRECEDING) AS raw FROM t)
 SELECT p_partkey, CAST(p AS DOUBLE) AS p, CAST(least(1, min(raw) OVER (ORDER BY p DESC RANGE UNBOUNDED PRECEDING)) AS DOUBLE) AS q FROM r""")
 def bh_fdr(spark, d):
     rows = table(spark, d, "part").select("p_partkey", ((F.col("p_partkey") * 37 % 1000 + 1) / 1000.0).cast("double").alias("p"))
@@ -433,7 +433,7 @@ def pearson_by_gene(spark, d):
     return stats.pearson(m.groupBy("cell").agg(F.sum("value").cast("double").alias("x")), m)
 
 
-@query("""WITH e AS (SELECT vec_id, c, embedding[c + 1]::DOUBLE AS x FROM embeddings, range(1, 4) t(c) WHERE vec_id < 400), v AS (SELECT vec_id, g, embedding[g + 1]::DOUBLE AS y FROM embeddings, range(10, 15) t(g) WHERE vec_id < 400),
+@query("""WITH e AS (SELECT vec_id, c, embedding[c + 1]::DOUBLE AS x FROM embeddings, range(1, 4) t(c)), v AS (SELECT vec_id, g, embedding[g + 1]::DOUBLE AS y FROM embeddings, range(10, 15) t(g)),
 s AS (SELECT c, g, row_number() OVER w AS k, avg(x) OVER f AS sx, avg(y) OVER f AS sy FROM e JOIN v USING (vec_id) WINDOW w AS (PARTITION BY c, g ORDER BY x, vec_id), f AS (PARTITION BY c, g ORDER BY x, vec_id ROWS 9 PRECEDING))
 SELECT CAST(c AS INTEGER) AS component, CAST(g AS INTEGER) AS gene, corr(sx, sy) AS r FROM s WHERE k > 10 GROUP BY c, g""")
 def eigv_smoothed_corr(spark, d):
@@ -455,7 +455,7 @@ def scaled_ranks(spark, d):
     return t.select("gene", stats.linear_scale(t, "v").alias("linear")).withColumn("logistic", stats.logistic_scale(F.col("linear")))
 
 
-GSEA = """r AS (SELECT p_partkey AS gene, (p_partkey * 37 % 1999) / 1000.0 - 1 AS score FROM part WHERE p_partkey < 1999), s AS (SELECT p_partkey AS gene, 'set' || CAST(p_size % 6 AS VARCHAR) AS gene_set FROM part WHERE p_partkey < 1999),
+GSEA = """r AS (SELECT p_partkey AS gene, (p_partkey * 37 % 1999) / 1000.0 - 1 AS score FROM part), s AS (SELECT p_partkey AS gene, 'set' || CAST(p_size % 6 AS VARCHAR) AS gene_set FROM part),
 o AS (SELECT *, row_number() OVER (ORDER BY score DESC, gene) AS place FROM r)"""
 
 
@@ -502,7 +502,7 @@ def enriched_genes(spark, d):
 
 # ---- graphs and projections
 
-KNN = """v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id < 300), dd AS (SELECT a.vec_id AS src, b.vec_id AS dst, sqrt(list_sum([power(a.e[i] - b.e[i], 2) FOR i IN range(1, 65)])) AS distance FROM v a, v b),
+KNN = """v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings), dd AS (SELECT a.vec_id AS src, b.vec_id AS dst, sqrt(list_sum([power(a.e[i] - b.e[i], 2) FOR i IN range(1, 65)])) AS distance FROM v a, v b),
 kn AS (SELECT * FROM dd QUALIFY row_number() OVER (PARTITION BY src ORDER BY distance, dst) <= 8)"""
 
 
@@ -515,7 +515,7 @@ def knn_join(spark, d):
     return _near(spark, d).select("src", "dst", "distance")
 
 
-@query(f"WITH {KNN} SELECT src AS cell, g AS gene, avg(v.e[g + 1]) AS value FROM kn JOIN v ON v.vec_id = dst, range(3) t(g) GROUP BY src, g")
+@query(f"WITH {KNN} SELECT src AS cell, g AS gene, avg(v.e[g + 1]) AS value FROM kn JOIN v ON v.vec_id = dst, range(64) t(g) GROUP BY src, g")
 def knn_smooth(spark, d):
     rows = vectors(spark, d).select("cell", F.posexplode("vector").alias("gene", "value")).select("cell", F.col("gene").cast("long").alias("gene"), F.col("value").cast("double").alias("value"))
     return graph.smooth(rows, _near(spark, d))
