@@ -28,7 +28,7 @@ from .shared import written
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Weights by the sources' order, repeating; the most times a source is taken; words in a block and blocks in a shard.
-WEIGHTS, MOST, BLOCK_WORDS, SHARD_BLOCKS = (5, 2, 1), 3, 1 << 13, 1 << 11
+WEIGHTS, MOST, BLOCK_WORDS, SHARD_BLOCKS = (5, 2, 1), 3, 1 << 13, 1 << 9
 #: Parts of the tree that tasks split further.
 TOP = 256
 NONE = -(2**63)
