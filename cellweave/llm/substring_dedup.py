@@ -10,7 +10,8 @@ runs of suffixes that share 100 bytes with their neighbour are one group, in whi
 the first are covered.
 
 No task holds what grows with a group: a task passes on one copy of a context, and anchors with
-very many contexts are grouped window by window instead of being sorted in one shard.
+very many contexts are grouped window by window instead of being sorted in one shard. Contexts and
+such windows count as equal by 128 bits of hashes; what is sorted is compared byte by byte.
 """
 
 from __future__ import annotations
@@ -103,27 +104,38 @@ def contexts(pieces: list[bytes], length: int = LENGTH, anchor: int = ANCHOR) ->
     return piece, lo - begin[piece], cnt, at - lo, h[at].view(np.int64), ctx.view(np.int64)
 
 
+def mark_again(seen: dict, key: np.ndarray, ctx: np.ndarray, uid: np.ndarray, lo: np.ndarray) -> np.ndarray:
+    """Whether a context has an equal one before it, here or in seen (key -> context's hash and first place), which learns them.
+
+    Contexts are equal where key and hash agree, 128 bits in all; one that shares its key only is passed on.
+    """
+    order = np.lexsort((lo, uid, ctx, key))
+    again = np.zeros(len(key), bool)
+    again[order[1:]] = (key[order[1:]] == key[order[:-1]]) & (ctx[order[1:]] == ctx[order[:-1]])
+    first = np.flatnonzero(~again)
+    for i, k, here in zip(first.tolist(), key[first].tolist(), zip(ctx[first].tolist(), uid[first].tolist(), lo[first].tolist(), strict=True), strict=True):
+        there = seen.setdefault(k, here)
+        if there[0] != here[0]:
+            continue
+        if there < here:
+            again[i] = True
+        elif here < there:
+            seen[k] = here
+    return again
+
+
 def find_runs(rows: DataFrame, length: int) -> DataFrame:
     """Contexts of rows(uid, text). again: the task has seen an equal one earlier in the corpus; such neighbours are one row."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[int, tuple[int, int]] = {}
+        seen: dict[int, tuple[int, int, int]] = {}
         for b in batches:
             for uids, offsets, pieces in _pieces(b.column(0).to_pylist(), b.column(1).to_pylist(), length):
                 piece, lo, cnt, off, digest, ctx = contexts(pieces, length)
                 uid, lo = np.array(uids, np.int64)[piece], lo + np.array(offsets, np.int64)[piece]
-                key = mixed(digest.view(np.uint64) ^ mixed(ctx.view(np.uint64)))
-                order = np.lexsort((lo, uid, key))
-                again = np.zeros(len(key), bool)
-                again[order[1:]] = key[order[1:]] == key[order[:-1]]
-                first = np.flatnonzero(~again)
                 if len(seen) > SEEN:
                     seen.clear()
-                for i, k, place in zip(first.tolist(), key[first].tolist(), zip(uid[first].tolist(), lo[first].tolist(), strict=True), strict=True):
-                    if seen.setdefault(k, place) < place:
-                        again[i] = True
-                    elif place < seen[k]:
-                        seen[k] = place
+                again = mark_again(seen, mixed(digest.view(np.uint64) ^ mixed(ctx.view(np.uint64))), ctx, uid, lo)
                 joined = np.concatenate([[False], again[1:] & again[:-1] & (uid[1:] == uid[:-1]) & (lo[1:] == lo[:-1] + cnt[:-1])])
                 head = np.flatnonzero(~joined)
                 total = np.add.reduceat(cnt, head)
