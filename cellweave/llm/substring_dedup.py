@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .arrow import release_memory
 from .shared import shared_path, written
 from .shingles import mixed
 from .suffix_sort import equal_prefixes, suffix_order
@@ -31,7 +32,7 @@ from .suffix_sort import equal_prefixes, suffix_order
 #: Bytes of a string, and of an anchor.
 LENGTH, ANCHOR = 100, 32
 #: Bytes handled at once; contexts that a task remembers; bytes of a shard; contexts of one anchor that go to a shard.
-CHUNK, SEEN, SHARD, CROWD = 1 << 19, 400_000, 4 << 20, 10_000
+CHUNK, SEEN, SHARD, CROWD = 1 << 19, 300_000, 4 << 20, 10_000
 NONE = -(2**63)
 
 RUNS = "uid long, lo long, cnt int, off int, digest long, ctx long, again boolean"
@@ -140,6 +141,7 @@ def find_runs(rows: DataFrame, length: int) -> DataFrame:
                 head = np.flatnonzero(~joined)
                 total = np.add.reduceat(cnt, head)
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (uid[head], lo[head], total.astype(np.int32), off[head].astype(np.int32), digest[head], ctx[head], again[head])], names=["uid", "lo", "cnt", "off", "digest", "ctx", "again"])
+        release_memory()
 
     return rows.mapInArrow(each, RUNS)
 
@@ -192,6 +194,8 @@ def sort_slices(slices: DataFrame, length: int, folder: str) -> DataFrame:
         marked = np.zeros(len(text), bool)
         marked[order[own > first]] = True
         yield _spans(uid, lo, base, owner, marked)
+        del text, owner, start, order, own, first, marked, parts
+        release_memory()
 
     return slices.mapInArrow(each, MARKS)
 
