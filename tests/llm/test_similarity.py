@@ -7,6 +7,8 @@ import pytest
 from cellweave.llm import multi_index, near_dedup, substring_dedup, suffix_sort
 from cellweave.llm.components import connected_components
 from cellweave.llm.near_dedup import drop_near, near_groups
+from cellweave.llm.shingles import band_keys, min_max_signatures
+from cellweave.llm.substring_dedup import mark_again
 
 from .helpers import docs, rows
 
@@ -206,3 +208,24 @@ def test_suffix_order_spills(tmp_path):
         keys = [s[i : i + 100] for i in order]
         assert keys == sorted(keys)
     assert not list(tmp_path.iterdir())
+
+
+@pytest.mark.parametrize("union, common", [(4, 3), (8, 6), (20, 15)])
+def test_bands_hold_on_small_sets(union, common):
+    rng = np.random.default_rng(9)
+    x = rng.integers(1, 1 << 63, (1500, union), dtype=np.uint64)
+    own = (union - common) // 2
+    a, b = x[:, : common + own], np.concatenate([x[:, :common], x[:, common + own :]], axis=1)
+    keys = [band_keys(min_max_signatures([np.sort(s) for s in part], 84), 4) for part in (a, b)]
+    hit = keys[0] == keys[1]
+    assert hit.shape[1] == 42 and abs(hit.mean() - 0.75**4) < 0.01
+    assert hit.any(axis=1).all()
+
+
+def test_contexts_that_share_a_key_only_are_not_equal():
+    seen = {}
+    array = lambda *v: np.array(v, np.int64)
+    key = np.array([7, 7, 7, 8], np.uint64)
+    assert mark_again(seen, key, array(1, 2, 1, 1), array(5, 5, 6, 5), array(0, 50, 0, 90)).tolist() == [False, False, True, False]
+    assert mark_again(seen, key[:2], array(2, 1), array(9, 9), array(0, 0)).tolist() == [False, True]
+    assert mark_again(seen, key[:1], array(1), array(1), array(0)).tolist() == [False] and seen[7] == (1, 1, 0)

@@ -232,3 +232,28 @@ def test_foreign_and_random_texts_go(spark):
         assert share(noise) < 0.05
         if known != langs:
             assert share([r["text"] for r in table if r["lang"] not in known]) < 0.1
+
+
+def test_language_scores_match_a_loop_over_subwords():
+    rows = [(i, t, l) for i, (t, l) in enumerate([("the cat sat on the mat", "en"), ("die katze lag auf der matte", "de"), ("le chat est sur le tapis", "fr")] * 30)]
+    model = language_id.train(rows)
+
+    def score(text):
+        raw, marks = language_id.letters(text), []
+        for n in language_id.GRAMS:
+            for k in range(len(raw) - n + 1):
+                gram, h = raw[k : k + n], 0
+                if b" " in gram[1:-1] or (n == 2 and gram == b"  "):
+                    continue
+                for c in gram:
+                    h = (h * 0x01000193 + c) & 0xFFFFFFFF
+                marks.append(((h * 0x9E3779B1 & 0xFFFFFFFF) >> 16) % language_id.BUCKETS)
+        z = (np.mean([model.scores[m].astype(float) for m in marks], axis=0) + model.bias) / model.temperature
+        p = np.exp(z - z.max())
+        return model.langs[int(p.argmax())], float(p.max() / p.sum())
+
+    texts = ["the mat", "Katze auf der Matte!", "le tapis", "x", "cat " * 3000, "ünï chat 12"]
+    lang, found, _ = model.predict(texts)
+    for text, l, s in zip(texts, lang, found):
+        assert l == score(text)[0] and abs(s - score(text)[1]) < 1e-4
+    assert model.predict(["", "12 !"])[0] == ["und", "und"]
