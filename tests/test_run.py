@@ -4,6 +4,8 @@ import pytest
 
 from cellweave.__main__ import main
 from cellweave.operators.platforms import PLATFORMS, merge_fastq
+from cellweave.operators.rmt import flag_tag_errors
+from cellweave.plans.run import correct_barcodes, mitochondrial_genes
 from cellweave.sources import readers
 
 
@@ -44,3 +46,23 @@ def test_every_layout_annotates(spark, tmp_path, name):
     (tmp_path / "b.fastq").write_text("".join(f"@read{i}\n{'ACGT' * 15}\n+\n{'F' * 60}\n" for i in range(2)))
     rows = merge_fastq(readers.fastq(spark, str(tmp_path / "g.fastq")), readers.fastq(spark, str(tmp_path / "b.fastq")), name).collect()
     assert len(rows) == 2 and all(r["name"].count(":") >= 3 and ";" in r["name"] for r in rows)
+
+
+def test_every_whitelist_counts(spark):
+    white = [spark.createDataFrame([(v,)], "barcode long") for v in (0o4444, 0o6666)]
+    rows = spark.createDataFrame([(0, 0o4444, 1), (0, 0o6666, 2), (0, 0o3333, 3)], "status int, cell long, rmt long")
+    done, rates = correct_barcodes(rows, "ten_x_v2", white)
+    assert rates is None and {r["rmt"]: r["status"] != 0 for r in done.collect()} == {1: False, 2: False, 3: True}
+
+
+def test_estimated_rates_decide_tag_errors(spark):
+    rows = [(0, 1, 1, 0o444, 7)] * 50 + [(0, 1, 1, 0o446, 7)] * 3
+    reads = spark.createDataFrame(rows, "status int, cell long, gene int, rmt long, position int")
+    flagged = lambda rate: flag_tag_errors(reads, rates=spark.createDataFrame([(4, 6, rate)], "from_b int, to_b int, rate double")).where("status <> 0").count()
+    assert flagged(0.2) == 3 and flagged(0.0001) == 0
+
+
+def test_mitochondrial_genes_by_symbol(spark):
+    rows = [("gene", {"gene_id": "ENSG00000000007", "gene_name": "mt-Nd1"}), ("gene", {"gene_id": "ENSG00000000008", "gene_name": "MTOR"}), ("exon", {"gene_id": "ENSG00000000009", "gene_name": "MT-CO1"}), ("gene", {"gene_id": "ENSG00000000010"})]
+    got = mitochondrial_genes(spark.createDataFrame(rows, "feature string, attributes map<string,string>"))
+    assert [r["gene"] for r in got.collect()] == [7]
