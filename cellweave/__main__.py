@@ -46,7 +46,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         bam = [f for f in args.alignments if f.endswith(".bam")]
         sam = [f for f in args.alignments if not f.endswith(".bam")]
         tables = [read(spark, files) for read, files in ((readers.bam, bam), (readers.sam, sam)) if files]
-        raw = from_alignments(tables[0] if len(tables) == 1 else tables[0].unionByName(tables[1]), records)
+        raw = from_alignments(tables[0] if len(tables) == 1 else tables[0].unionByName(tables[1]), records, args.platform)
     done = run(raw, args.platform, [readers.whitelist(spark, w) for w in args.whitelist], args.min_poly_t, mitochondrial, args.max_mitochondrial)
     box = writers.Archive(spark, args.out)
     for name, table in (("reads", done.reads), ("counts", done.counts), ("filtered", done.filtered), ("cells", done.cells), ("multimapping", done.multimapping)):

@@ -62,6 +62,12 @@ def gene_subset(records: DataFrame, ids: DataFrame, biotypes: tuple[str, ...] =
     return records.where(F.col("biotype").isin(*biotypes)).join(known, "gene_id", "left_semi")
 
 
+def distinct_records(records: DataFrame) -> DataFrame:
+    """One record of each place (seqname, strand, start, end), the first in file order, with its size."""
+    first = records.groupBy("seqname", "strand", "start", "end").agg(F.min("line").alias("line"))
+    return records.join(first.select("line"), "line", "left_semi").withColumn("size", F.col("end") - F.col("start"))
+
+
 def integer_gene_id(gene_id: Column) -> Column:
     """The number in an id like ENSG00000000003.14; ids without one raise an error."""
     digits = F.regexp_extract(gene_id, r"^[^0-9]*([0-9]+)", 1)

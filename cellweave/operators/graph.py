@@ -11,6 +11,8 @@ from cellweave.checkpoints import saved
 
 #: Rows of a block in the neighbour search, rows compared at once, and dimensions up to which a covariance goes to the driver.
 BLOCK, CHUNK, MOST_FEATURES = 16_384, 512, 10_000
+#: Features of a slice where rows are multiplied with rows.
+SLICE = 256
 
 
 def neighbours(vectors: DataFrame, k: int, id_col: str = "cell", vector_col: str = "vector") -> DataFrame:
@@ -65,6 +67,17 @@ def affinity(edges: DataFrame, epsilon: float = 1.0) -> DataFrame:
     return both.groupBy("src", "dst").agg((F.sum("w") / 2).alias("w"))
 
 
+def adaptive_affinity(edges: DataFrame, ka: int = 10) -> DataFrame:
+    """src, dst, w = exp(-d / s), s being src's distance to its ka-th neighbour but itself; both directions' sum.
+
+    edges: those of neighbours with a k above ka. Where s is 0, only rows at distance 0 are near: they weigh 1, others 0.
+    """
+    width = edges.where(F.col("rank") == ka + 1).select("src", F.col("distance").alias("s"))
+    w = F.when(F.col("s") > 0, F.exp(-F.col("distance") / F.col("s"))).otherwise((F.col("distance") == 0).cast("double"))
+    one = edges.join(width, "src").select("src", "dst", w.alias("w")).where("w > 0")
+    return one.unionByName(one.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "w")).groupBy("src", "dst").agg(F.sum("w").alias("w"))
+
+
 def normalise(weights: DataFrame, kind: str = "markov") -> DataFrame:
     """Edges scaled by row sums: markov (rows sum to one), smarkov (by roots on both sides), beltrami, sbeltrami, fokkerplanck, sfokkerplanck."""
     side = lambda t, name: t.groupBy("src").agg(F.sum("w").alias(name))
@@ -180,6 +193,38 @@ def pca(vectors: DataFrame, components: int | float = 20, id_col: str = "cell",
     return values, rows.withColumnRenamed("id", id_col)
 
 
+def gram_pca(vectors: DataFrame, components: int = 20, id_col: str = "cell", vector_col: str = "vector", drop_first: bool = False) -> tuple[np.ndarray, DataFrame]:
+    """pca where rows are fewer than features: (eigenvalues, id and projection of the centred rows).
+
+    A task has a slice of the features of all rows and sums its products of rows; only the rows by rows
+    matrix reaches the driver. More than MOST_FEATURES rows are refused, as pca takes those.
+    """
+    ids = [r["id"] for r in vectors.select(F.col(id_col).alias("id")).orderBy("id").limit(MOST_FEATURES + 1).collect()]
+    n = len(ids)
+    if n > MOST_FEATURES:
+        raise ValueError(f"more than {MOST_FEATURES} rows")
+    row = vectors.select((F.row_number().over(Window.orderBy(id_col)) - 1).alias("i"), F.col(vector_col).cast("array<double>").alias("v"))
+    slices = row.select("i", F.posexplode(F.transform(F.sequence(F.lit(0), F.floor((F.size("v") - 1) / SLICE).cast("int")), lambda b: F.slice("v", b * SLICE + 1, F.lit(SLICE)))).alias("b", "part"))
+
+    def products(pdf: pd.DataFrame) -> pd.DataFrame:
+        x = np.stack(pdf.sort_values("i")["part"].tolist())
+        x -= x.mean(axis=0)
+        g = x @ x.T
+        return pd.DataFrame({"i": np.arange(len(g)), "g": list(g)})
+
+    parts = slices.groupBy("b").applyInPandas(products, "i int, g array<double>").select("i", F.posexplode("g").alias("j", "g"))
+    sums = parts.groupBy("i", "j").agg(F.sum("g").alias("g")).toPandas()
+    gram = np.zeros((n, n))
+    gram[sums["i"], sums["j"]] = sums["g"]
+    values, rows = np.linalg.eigh(gram)
+    values, rows = np.maximum(values[::-1], 0.0), rows[:, ::-1]
+    rows = rows * np.where(rows[np.abs(rows).argmax(0), np.arange(n)] < 0, -1, 1)
+    placed = (rows * np.sqrt(values))[:, int(drop_first) : int(components)]
+    kind = vectors.schema[id_col].dataType.simpleString()
+    out = vectors.sparkSession.createDataFrame([(i, [float(v) for v in p]) for i, p in zip(ids, placed)], f"{id_col} {kind}, projection array<double>")
+    return values / max(1, n - 1), out
+
+
 def regress_out(projection: DataFrame, sizes: DataFrame) -> DataFrame:
     """Components less their line on library size: cell, component, x from cell, component, x and cell, size."""
     rows = projection.join(sizes, "cell")
@@ -228,3 +273,28 @@ def tree_paths(merges: DataFrame) -> DataFrame:
         if grown.count() == every.count():
             return grown.unionByName(nodes.select("node", F.col("node").alias("ancestor")))
         every = grown
+
+
+def linkage_edges(linkage: DataFrame) -> DataFrame:
+    """parent, child, side (0 left, 1 right), distance of a linkage table (step from 0, left, right, distance).
+
+    Leaves are numbered 0 to the number of steps, and step s makes the node after them all: steps + 1 + s.
+    """
+    steps = linkage.agg(F.count(F.lit(1)).alias("__n"))
+    sides = F.array(F.struct(F.col("left").cast("long").alias("child"), F.lit(0).alias("side")), F.struct(F.col("right").cast("long").alias("child"), F.lit(1).alias("side")))
+    rows = linkage.crossJoin(F.broadcast(steps)).select((F.col("step") + F.col("__n") + 1).cast("long").alias("parent"), "distance", F.inline(sides))
+    return rows.select("parent", "child", "side", "distance")
+
+
+def tree_order(edges: DataFrame) -> DataFrame:
+    """node, depth, dfs, bfs: places, from 0, of a depth-first walk that takes right sides first and a breadth-first one that takes left sides first.
+
+    edges: parent, child, side. A node's path is the sides from the root down to it; sorted paths give both walks.
+    """
+    above = saved(tree_paths(edges.select("parent", "child")))
+    depth = above.groupBy("node").agg((F.count(F.lit(1)) - 1).alias("depth"))
+    turns = above.join(depth.select(F.col("node").alias("ancestor"), F.col("depth").alias("d")), "ancestor").join(edges.select(F.col("child").alias("ancestor"), "side"), "ancestor", "left")
+    path = F.transform(F.array_sort(F.collect_list(F.when(F.col("d") > 0, F.struct("d", "side")))), lambda t: t["side"])
+    nodes = turns.groupBy("node").agg(path.alias("path")).join(depth, "node")
+    deep, wide = Window.orderBy(F.transform("path", lambda s: 1 - s)), Window.orderBy("depth", "path")
+    return nodes.select("node", "depth", (F.row_number().over(deep) - 1).cast("long").alias("dfs"), (F.row_number().over(wide) - 1).cast("long").alias("bfs"))

@@ -17,6 +17,10 @@ from cellweave.functions import special
 from .testing import tsbh_adjust
 
 
+#: Rows of a block in the correlation of all rows with all rows: a block of pairs has this number squared.
+BLOCK = 1024
+
+
 def with_zeros(matrix: DataFrame, labels: DataFrame) -> DataFrame:
     """gene, label, value, n: how many cells of each label have each value of each gene, zeros included."""
     seen = matrix.join(labels, "cell").where("value <> 0").groupBy("gene", "label", "value").agg(F.count(F.lit(1)).alias("n"))
@@ -29,6 +33,26 @@ def with_zeros(matrix: DataFrame, labels: DataFrame) -> DataFrame:
     return seen.unionByName(zeros)
 
 
+def non_negative(rows: DataFrame, value: str = "value") -> DataFrame:
+    """The rows as they are; the job that reads them fails at a value under zero."""
+    refused = F.raise_error(F.concat(F.lit("negative value "), F.col(value).cast("string"))).cast(rows.schema[value].dataType)
+    return rows.withColumn(value, F.when(F.col(value) < 0, refused).otherwise(F.col(value)))
+
+
+def aligned(cells: DataFrame, labels: DataFrame) -> DataFrame:
+    """cell and label of every cell of cells(cell), once; the job fails at a cell with no label row or with several."""
+    once = labels.groupBy("cell").agg(F.first("label").alias("label"), F.count(F.lit(1)).alias("rows"))
+    found = cells.select("cell").distinct().join(once, "cell", "left")
+    refused = F.raise_error(F.concat(F.lit("no single label for cell "), F.col("cell").cast("string"))).cast(labels.schema["label"].dataType)
+    return found.select("cell", F.when(F.coalesce("rows", F.lit(0)) != 1, refused).otherwise(F.col("label")).alias("label"))
+
+
+def by_q(tests: DataFrame, rounded: list[str]) -> DataFrame:
+    """Tests in the order of q, then gene, with columns rounded to two places."""
+    places = [F.bround(F.col(c), 2).alias(c) if c in rounded else F.col(c) for c in tests.columns]
+    return tests.select(*places).orderBy("q", "gene")
+
+
 def _ranked(matrix: DataFrame, labels: DataFrame) -> DataFrame:
     """gene, label, value, n, rank (average over ties of all labels), ties (number of tied cells)."""
     rows = saved(with_zeros(saved(matrix.select("cell", "gene", "value")), saved(labels)))
@@ -134,6 +158,37 @@ def pearson(x: DataFrame, matrix: DataFrame) -> DataFrame:
     return sums.select("gene", F.when(low > 0, top / F.sqrt(low)).alias("r"))
 
 
+def correlation_map(x: DataFrame, y: DataFrame) -> DataFrame:
+    """a, b, r of each row of x(id, vector) with each row of y(id, vector); null where a row is constant.
+
+    A task has a block of x against a block of y, one matrix product; the result has a row for each pair.
+    """
+    def blocks(rows: DataFrame) -> int:
+        return max(1, -(-rows.count() // BLOCK))
+
+    def dealt(rows: DataFrame, own: str, n: int, other: str, m: int) -> DataFrame:
+        place = F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
+        return rows.select("id", F.col("vector").cast("array<double>").alias("v"), place.alias(own), F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias(other))
+
+    def unit(rows: pd.DataFrame) -> np.ndarray:
+        v = np.stack(rows["v"].tolist()).astype(float)
+        v -= v.mean(axis=1, keepdims=True)
+        size = np.sqrt((v * v).sum(axis=1, keepdims=True))
+        return np.divide(v, size, out=np.full_like(v, np.nan), where=size > 1e-12)
+
+    def products(p: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
+        if not len(p) or not len(q):
+            return pd.DataFrame({"a": [], "b": [], "r": []})
+        r = unit(p) @ unit(q).T
+        flat = pd.Series(r.ravel())
+        return pd.DataFrame({"a": np.repeat(p["id"].to_numpy(), len(q)), "b": np.tile(q["id"].to_numpy(), len(p)), "r": flat.astype(object).where(flat.notna(), None)})
+
+    n, m = blocks(x), blocks(y)
+    kinds = [t.schema["id"].dataType.simpleString() for t in (x, y)]
+    left, right = dealt(x, "i", n, "j", m), dealt(y, "j", m, "i", n)
+    return left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInPandas(products, f"a {kinds[0]}, b {kinds[1]}, r double")
+
+
 def smoothed_correlation(vectors: DataFrame, values: DataFrame, knn: int = 10) -> DataFrame:
     """component, gene, r of rolling means over cells in a component's order.
 
@@ -281,25 +336,38 @@ def resampled_tests(matrix: DataFrame, labels: DataFrame, n_iter: int = 50, alph
     return tsbh_adjust(mid.fillna({"statistic": 0.0, "p": 1.0}), "p", alpha)
 
 
-def bootstrap_t(matrix: DataFrame, labels: DataFrame, first, second, n_samples: int = 100, n_cells: int | None = None, alpha: float = 0.05, seed: int = 1) -> DataFrame:
-    """gene, t, df, p, q: Welch's test on moments of pooled bootstrap draws of two labels' cells."""
-    drawn, own = resampled(matrix, labels.where(F.col("label").isin(first, second)), n_samples, seed=seed)
-    n = {r["label"]: r["n"] for r in own.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    sums = drawn.join(own, ["iter", "cell"]).groupBy("gene", "label").agg(F.sum("value").cast("double").alias("s"), F.sum(F.col("value") * F.col("value")).cast("double").alias("q"))
+def bootstrap_t(matrix: DataFrame, labels: DataFrame, first, second, n_samples: int = 100, n_cells: int | None = None, alpha: float = 0.05, seed: int = 1, size: float = 0.5) -> DataFrame:
+    """gene, t, t_low, t_high, p, q of Welch's test between bootstrap draws of two labels' cells.
+
+    t is the median of |t| over the draws, t_low and t_high its 2.5 and 97.5 percentiles; a draw
+    without variance has 0. Degrees of freedom come from the variances' means over the draws. size is
+    the percentile of library sizes that gives the common one (the smaller label's); larger cells are
+    scaled down to it, smaller ones up. n_cells stands for the numbers of drawn cells in the test.
+    """
+    names = (first, second)
+    drawn, own = resampled(non_negative(matrix), labels.where(F.col("label").isin(first, second)), n_samples, size, True, seed)
+    drawn, own = saved(drawn), saved(own)
+    sizes = {r["label"]: r["n"] for r in own.where("iter = 0").groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    cells = [float(n_cells or sizes.get(k, 0)) for k in names]
+    sums = drawn.join(own, ["iter", "cell"]).groupBy("gene", "iter", "label").agg(F.sum("value").cast("double").alias("s"), F.sum(F.col("value") * F.col("value")).cast("double").alias("q"))
     pick = lambda label, c: F.coalesce(F.max(F.when(F.col("label") == F.lit(label), F.col(c))), F.lit(0.0))
-    wide = sums.groupBy("gene").agg(pick(first, "s").alias("s1"), pick(first, "q").alias("q1"), pick(second, "s").alias("s2"), pick(second, "q").alias("q2"))
-    per = {k: float(n_cells or max(2, n.get(k, 0) // n_samples)) for k in (first, second)}
-
-    def moments(i: int, label) -> tuple[Column, Column]:
-        size = float(n.get(label, 1) or 1)
-        mean = F.col(f"s{i}") / size
-        return mean, (F.col(f"q{i}") / size - mean * mean) * (size / max(size - 1, 1.0)) / per[label]
-
-    (m1, v1), (m2, v2) = moments(1, first), moments(2, second)
-    pool = v1 + v2
-    df = pool * pool / (v1 * v1 / (per[first] - 1) + v2 * v2 / (per[second] - 1))
-    tests = wide.select("gene", F.when(pool > 0, (m1 - m2) / F.sqrt(pool)).alias("t"), F.when(pool > 0, df).alias("df"))
-    return tsbh_adjust(with_p(tests, "student").fillna({"p": 1.0}), "p", alpha)
+    seen = sums.groupBy("gene", "iter").agg(*[pick(k, c).alias(f"{c}{i}") for i, k in enumerate(names) for c in ("s", "q")])
+    every = seen.select("gene").distinct().withColumn("iter", F.explode(F.sequence(F.lit(0), F.lit(n_samples - 1))))
+    draws = every.join(seen, ["gene", "iter"], "left").fillna(0.0)
+
+    def moments(i: int) -> tuple[Column, Column]:
+        n = float(sizes.get(names[i], 0)) or 1.0
+        mean = F.col(f"s{i}") / n
+        return mean, F.greatest((F.col(f"q{i}") / n - mean * mean) * (n / max(n - 1, 1.0)), F.lit(0.0)) / max(cells[i], 1.0)
+
+    (m0, v0), (m1, v1) = moments(0), moments(1)
+    each = draws.select("gene", F.when(v0 + v1 > 0, F.abs(m0 - m1) / F.sqrt(v0 + v1)).otherwise(0.0).alias("t"), v0.alias("v0"), v1.alias("v1"))
+    at = lambda p: F.percentile("t", F.lit(p))
+    mid = each.groupBy("gene").agg(at(0.5).alias("t"), at(0.025).alias("t_low"), at(0.975).alias("t_high"), F.avg("v0").alias("v0"), F.avg("v1").alias("v1"))
+    v0, v1 = F.col("v0"), F.col("v1")
+    df = (v0 + v1) * (v0 + v1) / (v0 * v0 / max(cells[0] - 1, 1.0) + v1 * v1 / max(cells[1] - 1, 1.0))
+    tests = with_p(mid.select("gene", "t", "t_low", "t_high", F.when(v0 + v1 > 0, df).alias("df")), "student")
+    return tsbh_adjust(tests.fillna({"p": 1.0}), "p", alpha)
 
 
 def hurdle_tests(matrix: DataFrame, labels: DataFrame, least_fold: float = 1.25, alpha: float = 0.05) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cellweave.functions import dna
 from cellweave.functions import status as S
-from cellweave.operators import annotation, barcodes, cellqc, embedding, graph, platforms, rmt, stats, testing
+from cellweave.operators import annotation, barcodes, cellqc, embedding, graph, panels, platforms, rmt, stats, testing
 from cellweave.operators import counts as C
 from cellweave.operators import reads as R
 from cellweave.sources import readers
@@ -675,3 +675,111 @@ SELECT cell, CAST(e.component AS INTEGER) AS component, x - (m * size + k) AS x
 def regress_library_size(spark, d):
     rows = vectors(spark, d).select("cell", F.posexplode("vector").alias("component", "x")).where("component < 3").withColumn("x", F.col("x").cast("double"))
     return graph.regress_out(rows, vectors(spark, d).select("cell", (F.col("cell") % 37).alias("size")))
+
+
+# ---- checks, orders and rows for figures
+
+
+@query("WITH c AS (SELECT o_orderpriority AS p, count(*) AS n FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY 1) SELECT p AS priority, row_number() OVER (ORDER BY p) - 1 AS code, n FROM c")
+def category_codes(spark, d):
+    rows = panels.category_codes(table(spark, d, "orders").select(F.col("o_orderpriority").alias("priority")), "priority")
+    return rows.groupBy("priority", "code").agg(F.count(F.lit(1)).alias("n"))
+
+
+_STOPS = [[c[i] for c in panels.SCALE] for i in range(3)]
+
+
+@query(f"""WITH v AS (SELECT DISTINCT o_orderpriority AS value FROM orders), p AS (SELECT value, (row_number() OVER (ORDER BY value) - 1) / greatest(count(*) OVER () - 1, 1) AS position FROM v), a AS (SELECT *, CAST(least(floor(position * 4), 3) AS INTEGER) AS k FROM p)
+SELECT value, position, """ + ", ".join(f"CAST({s} AS DOUBLE[])[k + 1] + (CAST({s} AS DOUBLE[])[k + 2] - CAST({s} AS DOUBLE[])[k + 1]) * (position * 4 - k) AS {n}" for s, n in zip(_STOPS, ("red", "green", "blue"))) + " FROM a")
+def category_colours(spark, d):
+    return panels.category_colours(table(spark, d, "orders"), "o_orderpriority")
+
+
+@query("SELECT vec_id AS cell, a || '-' || b AS panel, embedding[a + 1]::DOUBLE AS x, embedding[b + 1]::DOUBLE AS y FROM embeddings, (VALUES (0, 1), (0, 2), (1, 2)) t(a, b)")
+def component_panels(spark, d):
+    rows = vectors(spark, d).select("cell", F.posexplode("vector").alias("component", "x")).withColumn("x", F.col("x").cast("double"))
+    return panels.component_panels(rows, [(0, 1), (0, 2), (1, 2)])
+
+
+@query("SELECT label, count(*) AS n, avg(embedding[1]::DOUBLE) AS x, avg(embedding[2]::DOUBLE) AS y FROM embeddings GROUP BY label")
+def label_panel(spark, d):
+    rows = vectors(spark, d)
+    return panels.label_panel(rows.select("cell", F.get("vector", F.lit(0)).cast("double").alias("x"), F.get("vector", F.lit(1)).cast("double").alias("y")), rows.select("cell", "label"))
+
+
+@query(f"WITH {READS}, c AS (SELECT DISTINCT cell FROM counts) SELECT c.cell, CAST(c.cell % 7 AS DOUBLE) AS x, CAST(c.cell % 11 AS DOUBLE) AS y, g.gene, CAST(coalesce(n_molecules, 0) AS DOUBLE) AS value FROM c CROSS JOIN (VALUES (1), (2), (30)) g(gene) LEFT JOIN counts ON counts.cell = c.cell AND counts.gene = g.gene")
+def expression_overlay(spark, d):
+    m = _matrix(spark, d)
+    places = m.select("cell").distinct().select("cell", (F.col("cell") % 7).cast("double").alias("x"), (F.col("cell") % 11).cast("double").alias("y"))
+    return panels.expression_overlay(places, m, [1, 2, 30])
+
+
+@query("SELECT range AS panel, range // 4 AS row, range % 4 AS col FROM range(11)")
+def grid_places(spark, d):
+    return panels.grid_places(spark, 11)
+
+
+_SPREAD = "s AS (SELECT c AS component, var_pop(embedding[c + 1]::DOUBLE) AS value FROM embeddings, range(64) t(c) GROUP BY c)"
+
+
+def _spread(spark, d):
+    return vectors(spark, d).select(F.posexplode("vector").alias("component", "x")).groupBy("component").agg(F.var_pop(F.col("x").cast("double")).alias("value"))
+
+
+@query(f"WITH {_SPREAD}, f AS (SELECT row_number() OVER o AS n_components, value - lead(value) OVER o AS gap FROM s WINDOW o AS (ORDER BY value DESC, component)) SELECT * FROM f WHERE gap IS NOT NULL ORDER BY gap DESC, n_components LIMIT 1")
+def eigengap(spark, d):
+    return panels.eigengap(_spread(spark, d))
+
+
+@query(f"WITH {_SPREAD}, f AS (SELECT row_number() OVER o AS k, sum(value) OVER o / sum(value) OVER () AS part FROM s WINDOW o AS (ORDER BY value DESC, component)) SELECT min(k) AS n_components FROM f WHERE part >= 0.75")
+def components_for_share(spark, d):
+    return panels.components_for(_spread(spark, d))
+
+
+@query(f"SELECT p_partkey AS gene, round_even(p_partkey * 37 % 1000 / 7.0, 2)::DOUBLE AS z, q FROM ({SQL['bh_fdr']})")
+def tests_by_q(spark, d):
+    tests = bh_fdr(spark, d).select(F.col("p_partkey").alias("gene"), (F.col("p_partkey") * 37 % 1000 / F.lit(7.0)).alias("z"), "q")
+    return stats.by_q(tests, ["z"])
+
+
+@query(f"WITH {READS} SELECT gene, CAST(sum(n_molecules) AS BIGINT) AS total FROM counts GROUP BY gene")
+def non_negative_totals(spark, d):
+    return stats.non_negative(_matrix(spark, d)).groupBy("gene").agg(F.sum("value").cast("long").alias("total"))
+
+
+@query(f"WITH {READS} SELECT DISTINCT cell, CAST(cell % 3 AS INTEGER) AS label FROM counts")
+def aligned_labels(spark, d):
+    m = _matrix(spark, d)
+    return stats.aligned(m, labels(m, 3))
+
+
+@query("""WITH v AS (SELECT vec_id AS id, embedding::DOUBLE[] AS e FROM embeddings), c AS (SELECT id, list_transform(e, lambda x: x - list_avg(e)) AS e FROM v), u AS (SELECT id, list_transform(e, lambda x: x / sqrt(list_dot_product(e, e))) AS e FROM c)
+SELECT a.id AS a, b.id AS b, list_dot_product(a.e, b.e) AS r FROM u a, u b""")
+def pearson_map(spark, d):
+    rows = vectors(spark, d).select(F.col("cell").alias("id"), "vector")
+    return stats.correlation_map(rows, rows)
+
+
+@query(f"""WITH {KNN.replace("<= 8)", "<= 31)")}, o AS (SELECT src, distance AS s FROM kn QUALIFY row_number() OVER (PARTITION BY src ORDER BY distance, dst) = 11), w AS (SELECT src, dst, exp(-distance / s) AS w FROM kn JOIN o USING (src)),
+sy AS (SELECT src, dst, sum(w) AS w FROM (SELECT * FROM w UNION ALL SELECT dst, src, w FROM w) GROUP BY src, dst) SELECT src, dst, w / sum(w) OVER (PARTITION BY src) AS w FROM sy""")
+def adaptive_markov(spark, d):
+    return graph.normalise(graph.adaptive_affinity(graph.neighbours(vectors(spark, d), 31), 10), "markov")
+
+
+@query("""WITH n AS (SELECT count(*) - 1 AS steps FROM nation), s AS (SELECT range AS i, steps FROM n, range(1000) WHERE range < steps)
+SELECT steps + 1 + i AS node, steps - 1 - i AS depth, 2 * (steps - 1 - i) AS dfs, greatest(2 * (steps - 1 - i) - 1, 0) AS bfs FROM s UNION ALL
+SELECT i + 1, steps - i, 2 * (steps - 1 - i) + 1, 2 * (steps - i) FROM s UNION ALL SELECT 0, steps, 2 * steps, 2 * steps - 1 FROM n""")
+def tree_order(spark, d):
+    steps = table(spark, d, "nation").agg((F.count(F.lit(1)) - 1).alias("steps"))
+    rows = steps.select("steps", F.explode(F.sequence(F.lit(0).cast("long"), F.col("steps") - 1)).alias("step"))
+    left = F.when(F.col("step") == 0, F.lit(0)).otherwise(F.col("steps") + F.col("step"))
+    return graph.tree_order(graph.linkage_edges(rows.select("step", left.alias("left"), (F.col("step") + 1).alias("right"), F.col("step").cast("double").alias("distance"))))
+
+
+@query("""WITH r AS (SELECT o_orderkey AS line, o_orderstatus AS seqname, CASE WHEN o_orderkey % 2 = 0 THEN '+' ELSE '-' END AS strand, o_custkey % 50 AS s, o_custkey % 50 + 1 + o_orderkey % 5 AS e FROM orders)
+SELECT min(line) AS line, seqname, strand, s AS start, e AS "end", e - s AS size FROM r GROUP BY seqname, strand, s, e""")
+def gtf_distinct(spark, d):
+    c = F.col
+    start = c("o_custkey") % 50
+    rows = table(spark, d, "orders").select(c("o_orderkey").alias("line"), c("o_orderstatus").alias("seqname"), F.when(c("o_orderkey") % 2 == 0, "+").otherwise("-").alias("strand"), start.alias("start"), (start + 1 + c("o_orderkey") % 5).alias("end"))
+    return annotation.distinct_records(rows)

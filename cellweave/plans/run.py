@@ -78,6 +78,11 @@ def mitochondrial_genes(records: DataFrame) -> DataFrame:
     return annotation.gene_symbols(named.withColumn("feature", F.lit("gene"))).where("symbol like 'MT-%'").select("gene")
 
 
-def from_alignments(alignments: DataFrame, records: DataFrame) -> DataFrame:
-    """The read table of annotated alignments by the genes of GTF records."""
-    return readers.read_table(alignments, gene_intervals(records))
+#: Positions from a transcript's 3' end where its reads may lie, and those of platforms that read whole transcripts.
+INSERT, WHOLE_INSERT = 1000, 10_000
+
+
+def from_alignments(alignments: DataFrame, records: DataFrame, name: str) -> DataFrame:
+    """The read table of annotated alignments of a platform by the genes of GTF records."""
+    most = WHOLE_INSERT if PLATFORMS[name].correction == "ten_x" else INSERT
+    return readers.read_table(alignments, gene_intervals(records, most))

@@ -19,3 +19,8 @@ def local_session(name: str = "cellweave", cpus: int | str = "*", partitions: in
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
+
+
+def executor_gib(spark: SparkSession) -> float:
+    """The memory of an executor's heap in GiB, from the session's settings."""
+    return spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.executor.memory", "1g")) / float(1 << 30)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gzip
+import re
 import struct
 from collections.abc import Iterator
 
@@ -228,8 +229,47 @@ def alignment_metrics(summary: DataFrame) -> DataFrame:
 
 def run_logs(spark: SparkSession, path: str, patterns: dict[str, str], exclude: str | None = None) -> DataFrame:
     """source, field and value (double) of the first match of each pattern's group in every log under a folder."""
-    raw = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path).withColumn("source", F.col("_metadata.file_path"))
+    raw = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).withColumn("source", F.col("_metadata.file_path"))
     if exclude:
         raw = raw.where(~F.col("source").rlike(exclude))
     cells = F.explode(F.array(*[F.struct(F.lit(k).alias("field"), F.regexp_extract("value", p, 1).try_cast("double").alias("value")) for k, p in patterns.items()]))
     return raw.select("source", cells.alias("c")).select("source", "c.field", "c.value").where("value is not null")
+
+
+def log_pattern(template: str, rule: str = "divide") -> tuple[str, list[str]]:
+    """(regular expression, names of its groups) of a log template with {name} fields.
+
+    A field that comes again must repeat its first text; {divide} is a rule of dashes of any length.
+    """
+    names: list[str] = []
+
+    def group(name: str) -> str:
+        if name == rule:
+            return "-*"
+        if name in names:
+            return rf"\{names.index(name) + 1}(?![0-9])"
+        names.append(name)
+        return "(.*?)"
+
+    parts = re.split(r"\{([A-Za-z_][A-Za-z0-9_]*)\}", template)
+    text = "".join(group(p) if i % 2 else re.escape(p) for i, p in enumerate(parts))
+    return f"(?s){text}$" if len(parts) > 1 and not parts[-1] else f"(?s){text}", names
+
+
+def log_fields(spark: SparkSession, path: str, templates: list[str], exclude: str | None = None) -> DataFrame:
+    """source, field, text of every log under a folder by the first template that matches it; other logs give no row."""
+    raw = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).withColumn("source", F.col("_metadata.file_path"))
+    if exclude:
+        raw = raw.where(~F.col("source").rlike(exclude))
+    found = F.lit(None).cast("array<struct<field:string,text:string>>")
+    for template in reversed(templates):
+        pattern, names = log_pattern(template)
+        fields = F.array(*[F.struct(F.lit(n).alias("field"), F.regexp_extract("value", pattern, i + 1).alias("text")) for i, n in enumerate(names)])
+        found = F.when(F.col("value").rlike(pattern), fields).otherwise(found)
+    return raw.select("source", F.inline(found))
+
+
+def csv_table(spark: SparkSession, path: str, index: str = "index", sep: str = ",") -> DataFrame:
+    """A CSV file with a header whose first column is the index, under a given name; types are found from the values."""
+    rows = spark.read.option("header", True).option("inferSchema", True).option("sep", sep).csv(path)
+    return rows.withColumnRenamed(rows.columns[0], index)

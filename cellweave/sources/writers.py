@@ -38,6 +38,12 @@ def write_csv(rows: DataFrame, path: str, sep: str = ",") -> None:
     rows.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
 
 
+def write_gtf(records: DataFrame, path: str) -> None:
+    """GTF lines in file order; missing fields are dots."""
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit(".")) for c in ("seqname", "source", "feature", "start", "end", "score", "strand", "frame", "attribute")]
+    records.repartitionByRange("line").sortWithinPartitions("line").select(F.concat_ws("\t", *fields).alias("value")).write.mode("overwrite").text(path)
+
+
 def write_rank_file(ranks: DataFrame, path: str) -> None:
     """gene and score by tab, highest first."""
     ranks.select("gene", "score").repartitionByRange(F.desc("score")).sortWithinPartitions(F.desc("score")).write.mode("overwrite").option("sep", "\t").csv(path)

@@ -97,3 +97,29 @@ def test_streamed_counts(spark, tmp_path):
 def test_encode_rejects_other_symbols(spark):
     with pytest.raises(Exception, match="not a DNA"):
         spark.range(1).select(dna.encode(F.lit("ACX"))).collect()
+
+
+def test_log_templates_repeat_and_choose(spark, tmp_path):
+    new, old = "run {n} of {name}\n{divide}\nagain {name}: {share}%", "reads: {n}"
+    (tmp_path / "a.log").write_text("run 12 of x\n-------\nagain x: 40.5%")
+    (tmp_path / "b.log").write_text("run 12 of x\n---\nagain y: 40.5%")
+    (tmp_path / "c.log").write_text("reads: 7")
+    (tmp_path / "d.skip").write_text("reads: 8")
+    rows = readers.log_fields(spark, str(tmp_path), [new, old], exclude=r"\.skip$").collect()
+    assert {(r["source"].rsplit("/", 1)[1], r["field"], r["text"]) for r in rows} == {("a.log", "n", "12"), ("a.log", "name", "x"), ("a.log", "share", "40.5"), ("c.log", "n", "7")}
+
+
+def test_csv_index_and_gtf_text(spark, tmp_path):
+    (tmp_path / "m.csv").write_text(",g1,g2\nc1,3,0\nc2,1,5\n")
+    rows = readers.csv_table(spark, str(tmp_path / "m.csv"), "cell")
+    assert [tuple(r) for r in rows.orderBy("cell").collect()] == [("c1", 3, 0), ("c2", 1, 5)]
+    text = 'chr1\thavana\tgene\t10\t20\t.\t+\t.\tgene_id "ENSG1"; gene_name "a";'
+    (tmp_path / "a.gtf").write_text("#!head\n" + text + "\n")
+    writers.write_gtf(readers.gtf(spark, str(tmp_path / "a.gtf")), str(tmp_path / "out"))
+    assert [r["value"] for r in spark.read.text(str(tmp_path / "out")).collect()] == [text]
+
+
+def test_run_logs_match_over_lines_and_once(spark, tmp_path):
+    (tmp_path / "a.log").write_text("reads\n  12\nreads\n  13\n")
+    rows = readers.run_logs(spark, str(tmp_path), {"n": r"reads\s+([0-9]+)"}).collect()
+    assert [(r["field"], r["value"]) for r in rows] == [("n", 12.0)]
