@@ -54,3 +54,9 @@ def dense(counts: DataFrame, genes: list, value: str = "n_molecules", labels: Da
     """One row for each cell and one column for each gene, 0 where there is no count; labels(cell, cluster) come first."""
     wide = counts.groupBy("cell").pivot("gene", genes).agg(F.sum(value)).fillna(0)
     return wide if labels is None else labels.join(wide, "cell").select("cluster", "cell", *[str(g) for g in genes])
+
+
+def composition(rows: DataFrame) -> DataFrame:
+    """sample, cluster, n, share: rows of each sample in each cluster and their share of the sample, to two places."""
+    n = rows.groupBy("sample", "cluster").agg(F.count(F.lit(1)).alias("n"))
+    return n.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy("sample")), 2))

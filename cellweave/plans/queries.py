@@ -95,8 +95,7 @@ def merge_samples(spark, d):
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_orderstatus, l_suppkey % 4""")
 def cluster_composition(spark, d):
     rows = table(spark, d, "lineitem").join(table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    n = rows.groupBy(F.col("o_orderstatus").alias("sample"), (F.col("l_suppkey") % 4).alias("cluster")).agg(F.count(F.lit(1)).alias("n"))
-    return n.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy("sample")), 2))
+    return C.composition(rows.select(F.col("o_orderstatus").alias("sample"), (F.col("l_suppkey") % 4).alias("cluster")))
 
 
 # ---- packed DNA
