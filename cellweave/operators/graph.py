@@ -11,8 +11,8 @@ from cellweave.checkpoints import saved
 
 #: Rows of a block in the neighbour search, rows compared at once, and dimensions up to which a covariance goes to the driver.
 BLOCK, CHUNK, MOST_FEATURES = 16_384, 512, 10_000
-#: Features of a slice where rows are multiplied with rows.
-SLICE = 256
+#: Features of a slice where rows are multiplied with rows; vectors that the search of eigenvectors has beside those wanted.
+SLICE, SPARE = 256, 5
 
 
 def neighbours(vectors: DataFrame, k: int, id_col: str = "cell", vector_col: str = "vector") -> DataFrame:
@@ -115,41 +115,90 @@ def power(weights: DataFrame, matrix: DataFrame, steps: int = 3) -> DataFrame:
     return matrix
 
 
-def eigenpairs(weights: DataFrame, k: int = 10, rounds: int = 100, seed: int = 1) -> tuple[np.ndarray, DataFrame]:
-    """(eigenvalues descending, cell, component, x) of a symmetric sparse operator by block power steps.
+def eigenpairs(weights: DataFrame, k: int = 10, rounds: int = 200, seed: int = 1, tolerance: float = 1e-6) -> tuple[np.ndarray, DataFrame]:
+    """(eigenvalues descending, cell, component, x) of a symmetric sparse operator: the k largest by magnitude.
 
-    A step is a join over the edges; the block of vectors stays distributed, and only k by k products
-    reach the driver.
+    Locally optimal block conjugate gradients: a round multiplies the residuals by the operator, a join
+    over the edges, and takes the best vectors among old ones, residuals and last steps. Vectors stay
+    distributed; only products of 3 * (k + 5) columns reach the driver. It ends when |Ax - ax| of unit
+    vectors x is under the tolerance, and raises RuntimeError where the rounds don't suffice.
+    Operators of fewer than k cells have as many components as cells, an empty one none.
     """
-    cells = weights.select(F.col("src").alias("cell")).distinct()
-    hashed = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda j: F.pmod(F.xxhash64(F.col("cell"), j, F.lit(seed)), F.lit(2_000_003)) / 1_000_001.5 - 1)
-    block = cells.withColumn("x", hashed)
-    values = np.zeros(k)
-
-    def gram(a: DataFrame) -> np.ndarray:
-        entries = [F.sum(F.get("x", F.lit(i)) * F.get("x", F.lit(j))).alias(f"g{i}_{j}") for i in range(k) for j in range(k)]
-        row = a.agg(*entries).first()
-        return np.array([[row[f"g{i}_{j}"] for j in range(k)] for i in range(k)], float)
-
-    def turned(a: DataFrame, m: np.ndarray) -> DataFrame:
-        cols = [F.aggregate(F.zip_with("x", F.array(*[F.lit(float(v)) for v in m[:, j]]), lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v) for j in range(k)]
-        return a.select("cell", F.array(*cols).alias("x"))
-
-    def step(a: DataFrame) -> DataFrame:
-        sums = [F.sum(F.col("w") * F.get("x", F.lit(j))) for j in range(k)]
-        return weights.join(a.withColumnRenamed("cell", "dst"), "dst").groupBy(F.col("src").alias("cell")).agg(F.array(*sums).alias("x"))
-
-    for n in range(rounds):
-        after = saved(step(block))
-        g = gram(after)
-        s, u = np.linalg.eigh(g)
-        s, u = np.maximum(s[::-1], 1e-300), u[:, ::-1]
-        block = saved(turned(after, u / np.sqrt(s)))
-        new = np.sqrt(s)
-        if n and np.abs(new - values).max() < 1e-9:
-            break
-        values = new
-    return values, block.select("cell", F.posexplode("x").alias("component", "x"))
+    weights = saved(weights)
+    width = k + SPARE
+    hashed = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda j: F.pmod(F.xxhash64(F.col("cell"), j, F.lit(seed)), F.lit(2_000_003)) / 1_000_001.5 - 1)
+    zeros = F.array_repeat(F.lit(0.0), width)
+    cells = saved(weights.select(F.col("src").alias("cell")).distinct())
+    size = min(k, cells.count())
+    if not size:
+        return np.zeros(0), cells.select("cell", F.lit(0).alias("component"), F.lit(0.0).alias("x"))
+    kind = cells.schema["cell"].dataType.simpleString()
+    # s: vectors, residuals and steps side by side; t: the operator's products with the vectors and the steps
+    state = cells.select("cell", F.concat(hashed, zeros, zeros).alias("s"), F.concat(zeros, zeros).alias("t"))
+    at, values = 0, np.zeros(width)
+    for n in range(rounds + 1):
+        sums = [F.sum(F.col("w") * F.get("u", F.lit(j))) for j in range(width)]
+        turn = state.select(F.col("cell").alias("dst"), F.slice("s", at + 1, width).alias("u"))
+        product = weights.join(turn, "dst").groupBy(F.col("src").alias("cell")).agg(F.array(*sums).alias("a"))
+        old, last = F.slice("t", 1, width), F.slice("t", width + 1, width)
+        t = F.concat("a", zeros, zeros) if n == 0 else F.concat(old, "a", last)
+        table = saved(state.join(product, "cell").select("cell", "s", t.alias("t")))
+        inner, outer = _products(table, 3 * width)
+        left = np.sqrt(np.maximum(np.diag(inner)[width : width + size], 0.0))
+        if n and left.max() < tolerance:
+            order = np.argsort(-values[:size])
+            x = F.array(*[F.get("s", F.lit(int(i))) for i in order])
+            return values[order], table.select("cell", F.posexplode(x).alias("component", "x"))
+        mix, values = _ritz(inner, outer, width)
+        state = _combined(table, mix, values, kind)
+        at = width
+    raise RuntimeError(f"residuals of {left.max():.1e} after {rounds} rounds")
+
+
+def _products(table: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Products of the columns of s with those of s and of t, summed over rows."""
+
+    def sums(batches):
+        total = np.zeros(2 * width * width)
+        for b in batches:
+            if len(b):
+                s, t = np.stack(b["s"].tolist()), np.stack(b["t"].tolist())
+                total += np.concatenate([(s.T @ s).ravel(), (s.T @ t).ravel()])
+        yield pd.DataFrame({"p": [total.tolist()]})
+
+    parts = table.select("s", "t").mapInPandas(sums, "p array<double>").select(F.posexplode("p").alias("i", "p"))
+    total = parts.groupBy("i").agg(F.sum("p").alias("p")).orderBy("i").toPandas()["p"].to_numpy()
+    inner, outer = total.reshape(2, width, width)
+    return inner, (outer + outer.T) / 2
+
+
+def _ritz(inner: np.ndarray, outer: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(combinations of the columns, values) of the largest Ritz pairs by magnitude; dependent columns take no part."""
+    norms = np.sqrt(np.maximum(np.diag(inner), 0.0))
+    scale = np.where(norms > 0, 1 / np.where(norms > 0, norms, 1.0), 0.0)
+    spread, axes = np.linalg.eigh(inner * np.outer(scale, scale))
+    kept = spread > 1e-10 * spread.max()
+    basis = scale[:, None] * axes[:, kept] / np.sqrt(spread[kept])
+    values, turns = np.linalg.eigh(basis.T @ outer @ basis)
+    first = np.argsort(-np.abs(values), kind="stable")[:width]
+    mix, out = np.zeros((len(inner), width)), np.zeros(width)
+    mix[:, : len(first)], out[: len(first)] = basis @ turns[:, first], values[first]
+    return mix, out
+
+
+def _combined(table: DataFrame, mix: np.ndarray, values: np.ndarray, kind: str) -> DataFrame:
+    """The next vectors, residuals and steps with the products that are known of them."""
+    steps = mix.copy()
+    steps[: len(values)] = 0.0
+
+    def rows(batches):
+        for b in batches:
+            if len(b):
+                s, t = np.stack(b["s"].tolist()), np.stack(b["t"].tolist())
+                x, a = s @ mix, t @ mix
+                yield pd.DataFrame({"cell": b["cell"], "s": list(np.hstack([x, a - x * values, s @ steps])), "t": list(np.hstack([a, t @ steps]))})
+
+    return table.mapInPandas(rows, f"cell {kind}, s array<double>, t array<double>")
 
 
 def covariance(vectors: DataFrame, vector_col: str = "vector") -> tuple[np.ndarray, np.ndarray, int]:
