@@ -202,15 +202,22 @@ def smoothed_correlation(vectors: DataFrame, values: DataFrame, knn: int = 10) -
     return smooth.groupBy("component", "gene").agg(F.corr("sx", "sv").alias("r"))
 
 
-def jensen_shannon(rows: DataFrame) -> DataFrame:
-    """a, b (a < b), distance (square root, base 2) of all pairs of distributions in rows(key, feature, p)."""
+def jensen_shannon(rows: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """a, b, distance (square root, base 2) of distributions in rows(key, feature, p): of the wanted pairs (a, b), or of all with a < b.
+
+    All pairs are for clusters or samples; for cells, hand in the wanted pairs, say those of a neighbour search.
+    Then only rows of wanted pairs meet. Keys without rows have no distance and are left out.
+    """
     # with m = (p + q) / 2, features of one side alone add p / 2 each: 1 - (shared mass) / 2 + the shared terms
     a, b = rows.select(F.col("key").alias("a"), "feature", F.col("p").alias("pa")), rows.select(F.col("key").alias("b"), "feature", F.col("p").alias("pb"))
     m = (F.col("pa") + F.col("pb")) / 2
-    shared = a.join(b, "feature").where("a < b and pa > 0 and pb > 0")
+    own = wanted.select("a", "b").distinct() if wanted is not None else None
+    met = a.join(b, "feature").where("a < b") if own is None else own.join(a, "a").join(b, ["b", "feature"])
+    shared = met.where("pa > 0 and pb > 0")
     part = shared.groupBy("a", "b").agg(F.sum(0.5 * F.col("pa") * F.log2(F.col("pa") / m) + 0.5 * F.col("pb") * F.log2(F.col("pb") / m)).alias("s"), F.sum((F.col("pa") + F.col("pb")) / 2).alias("mass"))
     keys = rows.select("key").distinct()
-    pairs = keys.select(F.col("key").alias("a")).join(keys.select(F.col("key").alias("b")), F.col("a") < F.col("b"))
+    left, right = keys.select(F.col("key").alias("a")), keys.select(F.col("key").alias("b"))
+    pairs = left.join(right, F.col("a") < F.col("b")) if own is None else own.join(left, "a", "left_semi").join(right, "b", "left_semi")
     return pairs.join(part, ["a", "b"], "left").select("a", "b", F.sqrt(F.greatest(F.lit(0.0), 1 - F.coalesce("mass", F.lit(0.0)) + F.coalesce("s", F.lit(0.0)))).alias("distance"))
 
 

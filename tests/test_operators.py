@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -135,3 +136,16 @@ def test_graph(spark):
     w = graph.normalise(graph.affinity(edges), "smarkov")
     top, _ = graph.eigenpairs(w, k=2, rounds=30)
     assert abs(top[0] - 1) < 1e-6
+
+
+def test_distances_of_wanted_pairs(spark):
+    rng = np.random.default_rng(2)
+    p = rng.random((5, 6)) * (rng.random((5, 6)) < 0.6) + 1e-3
+    p /= p.sum(axis=1, keepdims=True)
+    rows = spark.createDataFrame([(k, f, float(p[k, f])) for k in range(5) for f in range(6)], "key int, feature int, p double")
+    every = {(r["a"], r["b"]): r["distance"] for r in stats.jensen_shannon(rows).collect()}
+    assert len(every) == 10
+    wanted = spark.createDataFrame([(0, 3), (3, 0), (0, 3), (2, 2), (1, 9)], "a int, b int")
+    got = {(r["a"], r["b"]): r["distance"] for r in stats.jensen_shannon(rows, wanted).collect()}
+    assert set(got) == {(0, 3), (3, 0), (2, 2)}
+    assert abs(got[0, 3] - every[0, 3]) < 1e-9 and abs(got[3, 0] - every[0, 3]) < 1e-9 and got[2, 2] < 1e-6
