@@ -10,8 +10,9 @@ Copies with the same word sequence are one candidate. Each bucket first offers t
 members with its smallest number; after the links found so far have joined components, buckets
 that still hold several components offer the pairs between different ones. A pair is offered by the
 first band that it shares and only if sizes and sketches of 2,048 values (five standard deviations
-under the threshold) allow a link; the join tests this before it makes a row. Buckets are cut into
-tiles of about TILE members: a task compares two tiles, and a document's set goes once to each tile.
+under the threshold) allow a link; this is tested before a row is made. Buckets are cut into tiles of
+about TILE members: a task compares two tiles, many pairs at a time in numpy, and a document's set goes
+once to each tile.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,8 +34,8 @@ from .shingles import band_keys, min_max_signatures, sequence_keys, shingle_sets
 
 #: Words in a shingle; similarity in hundredths; permutations and values in a band; permutations of a sketch and bits of its values.
 WORDS, PERCENT, PERMUTATIONS, ROWS, SKETCH, PLANES = 5, 75, 84, 4, 1024, 2
-#: Documents hashed at once hold about so many characters; members of a bucket in a tile.
-CHARS, TILE = 1 << 19, 2048
+#: Documents hashed at once hold about so many characters; members of a bucket in a tile; pairs listed and sketches compared at once.
+CHARS, TILE, PAIRS, SKETCHES = 1 << 19, 2048, 1 << 18, 1 << 13
 
 _LONG, _LONGS = T.LongType(), T.ArrayType(T.LongType())
 SIGNATURE = T.StructType([T.StructField("doc_id", _LONG), T.StructField("digest", T.StringType()), T.StructField("k1", _LONG), T.StructField("k2", _LONG), T.StructField("n_shingles", _LONG), T.StructField("bands", _LONGS)])
@@ -83,22 +85,105 @@ def full_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return map_documents(docs, columns, FULL, id_col, text_col)
 
 
-def may_link(percent: int) -> Column:
-    """Whether sizes an, bn and sketches asketch, bsketch leave a link possible.
+def most_differing(percent: int) -> int:
+    """How many values of two sketches may differ if a link is possible.
 
     Values agree in all planes at similarity s with probability s + (1 - s) / 2 ** planes.
     """
-    values, wide = 2 * SKETCH, 2 * SKETCH // 64
     chance = percent / 100 + (1 - percent / 100) / 2**PLANES
-    least = chance - 5 * (chance * (1 - chance) / values) ** 0.5
-    differ = F.lit(0)
+    return int((1 - chance + 5 * (chance * (1 - chance) / (2 * SKETCH)) ** 0.5) * 2 * SKETCH)
+
+
+def may_link(percent: int) -> Column:
+    """Whether sizes an, bn and sketches asketch, bsketch leave a link possible."""
+    wide, differ = 2 * SKETCH // 64, F.lit(0)
     for i in range(wide):  # word by word, so that the test runs in generated code
         unequal = F.lit(0).cast("long")
         for k in range(PLANES):
             at = F.lit(k * wide + i)
             unequal = unequal.bitwiseOR(F.get("asketch", at).bitwiseXOR(F.get("bsketch", at)))
         differ = differ + F.bit_count(unequal)
-    return (F.least("an", "bn") * 100 >= F.greatest("an", "bn") * percent) & (differ <= int((1 - least) * values))
+    return (F.least("an", "bn") * 100 >= F.greatest("an", "bn") * percent) & (differ <= most_differing(percent))
+
+
+def pairs_in_runs(starts: np.ndarray, rows: int, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs i < j of rows of the same run, some ``most`` at a time; starts: the first row of each run."""
+    ends = np.repeat(np.append(starts[1:], rows), np.diff(np.append(starts, rows)))
+    after = np.concatenate([np.zeros(1, np.int64), np.cumsum(ends - np.arange(rows) - 1)])  # pairs of the rows before
+    at = 0
+    while at < rows:
+        stop = max(at + 1, int(np.searchsorted(after, after[at] + most, "right")) - 1)
+        i = np.repeat(np.arange(at, stop), np.diff(after[at : stop + 1]))
+        yield i, np.arange(after[at], after[stop]) - after[i] + i + 1
+        at = stop
+
+
+def possible(i: np.ndarray, j: np.ndarray, n: np.ndarray, sketch: np.ndarray, percent: int) -> np.ndarray:
+    """may_link of rows i with rows j, by sizes n and sketches (rows by words)."""
+    keep, most = np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * percent, most_differing(percent)
+    sized = np.flatnonzero(keep)
+    for lo in range(0, len(sized), SKETCHES):
+        own = sized[lo : lo + SKETCHES]
+        unequal = np.bitwise_or.reduce((sketch[i[own]] ^ sketch[j[own]]).reshape(len(own), PLANES, -1), axis=1)
+        keep[own] = np.bitwise_count(unequal.view(np.uint64)).sum(axis=1, dtype=np.int64) <= most
+    return keep
+
+
+def first_shared(i: np.ndarray, j: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The first key of rows i that rows j have too; keys: rows by padded keys, of which counts are real."""
+    out, real = np.zeros(len(i), np.int64), np.arange(keys.shape[1]) < counts[:, None]
+    for lo in range(0, len(i), SKETCHES // 4):
+        x, y = i[lo : lo + SKETCHES // 4], j[lo : lo + SKETCHES // 4]
+        shared = ((keys[x][:, :, None] == keys[y][:, None, :]) & real[y][:, None, :]).any(axis=2)
+        out[lo : lo + len(x)] = keys[x, shared.argmax(axis=1)]
+    return out
+
+
+def crossing(members: DataFrame, percent: int) -> DataFrame:
+    """a, salt, b: pairs of different components in a bucket that may link, each by the smallest of the bands that both have.
+
+    members: band, tiles, tile, doc_id, component, bands, n, sketch. A pair of tiles (low, high) is one
+    run of rows, the member of the lower tile first; runs are dealt by ranges, as their sizes differ.
+    """
+    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
+    met = members.withColumn("other", other).withColumn("low", F.least("tile", "other").cast("long")).withColumn("high", F.greatest("tile", "other").cast("long"))
+    met = met.select("band", "low", "high", F.col("tile").cast("long").alias("tile"), "doc_id", "component", "n", "sketch", "bands")
+    dealt = met.repartitionByRange(parts, "band", "low", "high").sortWithinPartitions("band", "low", "high", "tile", "doc_id")
+
+    def test(rows: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        band, low, high, tile, doc, component, n = (rows.column(c).to_numpy() for c in range(7))
+        sketch, flat = (np.concatenate([c.flatten().to_numpy() for c in rows.column(k).chunks]) for k in (7, 8))
+        sketch, counts = sketch.reshape(len(doc), -1), pc.list_value_length(rows.column(8)).to_numpy()
+        keys = np.zeros((len(doc), counts.max()), np.int64)
+        keys[np.arange(keys.shape[1]) < counts[:, None]] = flat
+        for i, j in pairs_in_runs(starts, len(doc), PAIRS):
+            new = (component[i] != component[j]) & ((tile[i] != tile[j]) | (low[i] == high[i]))
+            i, j = i[new], j[new]
+            keep = possible(i, j, n, sketch, percent)
+            i, j = i[keep], j[keep]
+            first = first_shared(i, j, keys, counts) == band[i]
+            i, j = i[first], j[first]
+            yield pa.RecordBatch.from_arrays([pa.array(doc[i]), pa.array(high[i]), pa.array(doc[j])], names=["a", "salt", "b"])
+
+    def in_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # rows of the last run, which the next batch may go on with
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = pa.concat_tables([held, rows]) if held is not None else rows
+            ids = np.stack([rows.column(c).to_numpy() for c in range(3)])
+            starts = np.concatenate([np.zeros(min(1, rows.num_rows), np.int64), 1 + np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(axis=0))])
+            if len(starts) > 1:
+                yield from test(rows.slice(0, starts[-1]), starts[:-1])
+            held = rows.slice(starts[-1]) if len(starts) else held
+        if held is not None and held.num_rows:
+            yield from test(held, np.zeros(1, np.int64))
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from in_runs(batches)
+        release_memory()
+
+    return dealt.mapInArrow(each, "a long, salt long, b long")
 
 
 def tiles(n: Column) -> Column:
@@ -157,15 +242,7 @@ def _grouped(docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataF
     open_ = written(placed.join(several, "band").withColumn("tile", F.pmod(F.hash("doc_id"), F.col("tiles"))), "open")
     bands = open_.groupBy("doc_id").agg(F.sort_array(F.collect_list("band")).alias("bands"))
     full = written(open_.join(bands, "doc_id").join(sets.select("doc_id", "n", "sketch"), "doc_id"), "full")
-    facts = ("doc_id", "component", "bands", "n", "sketch", "tile")
-    a, b = (full.select("band", "tiles", *[F.col(c).alias(f"{x}{c}") for c in facts]) for x in "ab")
-    # a pair of tiles is one key: the member of the lower tile is on the left
-    a = a.withColumn("low", F.col("atile")).withColumn("high", F.explode(F.sequence("atile", F.col("tiles") - 1)))
-    b = b.withColumn("high", F.col("btile")).withColumn("low", F.explode(F.sequence(F.lit(0), "btile")))
-    once = (F.col("a.low") < F.col("a.high")) | (F.col("adoc_id") < F.col("bdoc_id"))
-    new = once & (F.col("acomponent") != F.col("bcomponent")) & may_link(percent) & (F.array_min(F.array_intersect("abands", "bbands")) == F.col("a.band"))
-    meet = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("band", "low", "high")]
-    cross = a.alias("a").join(b.alias("b"), meet[0] & meet[1] & meet[2] & new).select(F.col("adoc_id").alias("a"), F.col("a.high").alias("salt"), F.col("bdoc_id").alias("b"))
+    cross = crossing(full, percent)
     more = written(confirmed(written(cross, "cross"), sets, percent), "more")
 
     # components that later links join: the graph is contracted to the first components

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -108,6 +109,65 @@ def test_sketches_leave_links(spark):
     assert spark.createDataFrame([(200, 200, far[0].tolist(), far[1].tolist())], row.schema).where(near_dedup.may_link(75)).count() == 0
 
 
+def open_members(spark, buckets, component, n, sketch, tiles=3):
+    """The rows that crossing() reads: buckets is {band: numbers of its documents}."""
+    own = {d: sorted(b for b, ds in buckets.items() if d in ds) for ds in buckets.values() for d in ds}
+    out = [(b, tiles, (d * 7 + b) % tiles, d, component[d], own[d], n[d], sketch[d].tolist()) for b, ds in buckets.items() for d in ds]
+    random.shuffle(out)
+    return spark.createDataFrame(out, "band long, tiles int, tile int, doc_id long, component long, bands array<long>, n long, sketch array<long>")
+
+
+def test_pairs_in_runs():
+    for most in (1, 4, 1000):
+        made = [(int(a), int(b)) for i, j in near_dedup.pairs_in_runs(np.array([0, 3, 4, 9]), 11, most) for a, b in zip(i, j, strict=True)]
+        assert made == [(a, b) for lo, hi in ((0, 3), (3, 4), (4, 9), (9, 11)) for a in range(lo, hi) for b in range(a + 1, hi)]
+
+
+def test_crossing_pairs_of_buckets_match_plain_loops(spark):
+    random.seed(4)
+    rng, docs_ = np.random.default_rng(4), range(70)
+    bases = rng.integers(-(2**63), 2**63 - 1, (3, 64))
+    sketch = {d: bases[d % 3].copy() for d in docs_}
+    for d in docs_:  # from no changed word to nearly all: on both sides of the limit
+        at = rng.permutation(64)[: rng.integers(0, 25)]
+        sketch[d][at] = rng.integers(-(2**63), 2**63 - 1, len(at))
+    n, component = {d: random.choice([90, 100, 125]) for d in docs_}, {d: random.choice([d, d % 5]) for d in docs_}
+    buckets = {b: random.sample(docs_, size) for b, size in ((-8, 2), (-3, 40), (5, 60), (9, 30))}
+
+    def may(a, b):
+        differ = 0
+        for w in range(32):
+            unequal = (int(sketch[a][w]) ^ int(sketch[b][w])) | (int(sketch[a][32 + w]) ^ int(sketch[b][32 + w]))
+            differ += (unequal & (2**64 - 1)).bit_count()
+        return min(n[a], n[b]) * 100 >= max(n[a], n[b]) * 75 and differ <= 472
+
+    want, seen, refused = [], set(), 0
+    for band in sorted(buckets):
+        for a, b in ((a, b) for a in buckets[band] for b in buckets[band] if a < b and component[a] != component[b]):
+            if (a, b) not in seen:
+                seen.add((a, b))
+                refused += not may(a, b)
+                if may(a, b):
+                    (low, x), (high, y) = sorted(((d * 7 + band) % 3, d) for d in (a, b))
+                    want.append((x, high, y))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = rows(near_dedup.crossing(open_members(spark, buckets, component, n, sketch), 75), "a", "salt", "b")
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == sorted(want, key=str) and len(want) > 50 and refused > 50
+    assert rows(near_dedup.crossing(open_members(spark, buckets, component, n, sketch).where("band > 99"), 75), "a") == []
+
+
+def test_a_large_bucket_of_unlike_texts_takes_seconds(spark):
+    rng, size = np.random.default_rng(6), 2000
+    sketch, alone, n = dict(enumerate(rng.integers(-(2**63), 2**63 - 1, (size, 64)))), {d: d for d in range(size)}, dict.fromkeys(range(size), 50)
+    members = open_members(spark, {1: range(size)}, alone, n, sketch, tiles=1).localCheckpoint()
+    began = time.monotonic()
+    assert near_dedup.crossing(members, 75).count() == 0
+    assert time.monotonic() - began < 8  # measured: 1 to 3 s; the join with its condition took 16 s
+
+
 # ---- nearest neighbours
 
 
