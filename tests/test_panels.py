@@ -61,6 +61,27 @@ def test_components_fall_back_and_constant_rows_have_no_correlation(spark):
     assert got[1, 2] == pytest.approx(-1) and got[1, 3] is None and len(got) == 9
 
 
+def test_blocks_of_a_correlation_map(spark, monkeypatch):
+    monkeypatch.setattr(stats, "BLOCK", 3)  # blocks of some three rows
+    monkeypatch.setattr(stats, "PAIRS", 4)
+    rng = np.random.default_rng(8)
+    x = {f"x{i}": rng.normal(size=5) for i in range(11)} | {"flat": np.full(5, 0.1)}
+    y = {i: rng.normal(size=5) for i in range(7)}
+    left = spark.createDataFrame([*((k, v.tolist()) for k, v in x.items()), ("none", None), ("hole", [1.0, None, 2.0, 3.0, 5.0])], "id string, vector array<double>")
+    right = spark.createDataFrame([(k, v.tolist()) for k, v in y.items()], "id long, vector array<float>")
+    made = stats.correlation_map(left, right)
+    assert made.dtypes == [("a", "string"), ("b", "bigint"), ("r", "double")]
+    got = {(r["a"], r["b"]): r["r"] for r in made.collect()}
+    assert len(got) == made.count() == 14 * 7
+    for (a, b), r in got.items():
+        assert (r is None) == (a in ("flat", "none", "hole"))
+        assert r is None or r == pytest.approx(np.corrcoef(x[a], y[b])[0, 1], abs=1e-6)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Generate" not in plan  # no copy of a row for each block of the other side
+    assert stats.correlation_map(left.where("id = ''"), right).count() == 0
+    assert [r["r"] for r in stats.correlation_map(left.where("id = 'none'"), right.limit(1)).collect()] == [None]
+
+
 def test_walks_of_a_tree(spark):
     linkage = spark.createDataFrame([(0, 0, 1, 0.5), (1, 2, 3, 0.7), (2, 4, 5, 1.0)], "step long, left long, right long, distance double")
     got = {r["node"]: (r["dfs"], r["bfs"]) for r in graph.tree_order(graph.linkage_edges(linkage)).collect()}
