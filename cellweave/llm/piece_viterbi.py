@@ -324,9 +324,43 @@ class Search:
         return out
 
     def whole(self, text: str) -> list[int]:
+        if len(text) <= self.p.longest and self.p.kind == "bpe":
+            return self.in_window(text)
         self.tail = text
         return self.finish()
 
+    def in_window(self, text: str) -> list[int]:
+        """Ids of a text no longer than the window, which holds all its boundaries until the end."""
+        arcs, pairs, n = self.p.arcs, self.pairs, len(text)
+        back, taken = [0] * (n + 1), [None] * (n + 1)
+        taken[0] = -1
+        for at in range(n):
+            arc = taken[at]
+            if arc is None:
+                continue
+            single, key = False, arc << 32
+            for end in range(at + 1, n + 1):
+                piece = arcs.get(text[at:end])
+                if piece is None:
+                    break
+                if piece < 0:
+                    continue
+                single |= end == at + 1
+                agreed = arc < 0 or pairs.get(key | piece)
+                if agreed is None:
+                    agreed = self.agrees(arc, piece)
+                if agreed:
+                    back[end], taken[end] = at, piece
+            if not single:
+                back[at + 1], taken[at + 1] = at, -1 - ord(text[at])
+        found, out = [], []
+        while n:
+            found.append(taken[n])
+            n = back[n]
+        for arc in reversed(found):
+            self.spell(arc, out)
+        return out
+
 
 class Codec:
     """Encoding and decoding of whole texts."""

@@ -108,6 +108,12 @@ def test_search_commits_within_the_window(codec):
     assert search.in_window("thequick") == search.feed("thequick") + search.finish()
 
 
+def test_short_texts_in_the_window_are_as_in_the_stream(codec):
+    stream = piece_viterbi.Search(codec.p)
+    for text in ["", "a", "▁the", "▁▁▁a", "é🙂x", "\x00\x00", "qwzx▁k", *list(codec.p.ids)[::4000]]:
+        assert len(text) <= codec.p.longest and codec.search.in_window(text) == codec.search.whole(text) == stream.feed(text) + stream.finish()
+
+
 def test_unigram_search_is_the_best_path(codec):
     class Model:
         kind, byte_ids, unknown, longest, lowest = "unigram", {}, 0, 3, -6.0
