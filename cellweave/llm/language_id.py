@@ -22,11 +22,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrow import release_memory
+from .arrow import release_memory, text_slices
 from .shared import written
 
 #: Buckets of subwords, width of embeddings, lengths of subwords, bytes handled at once.
 BUCKETS, WIDTH, GRAMS, CHUNK = 1 << 16, 16, (2, 3, 4), 1 << 19
+#: Documents judged at once hold about so many characters.
+CHARS = 1 << 20
 #: Labelled documents of each language to learn from, expected; bytes of a training example; passes; step.
 PER_LANGUAGE, EXAMPLE, EPOCHS, STEP, BATCH = 400, 160, 3, 0.5, 64
 #: Labelled documents to learn from in all, expected.
@@ -235,8 +237,13 @@ def accepted_documents(docs: DataFrame, model: Model, text_col: str = "text") ->
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [t or "" for t in b.column(b.schema.get_field_index(text_col)).to_pylist()]
-            yield b.filter(pa.array(shared.value.predict(texts)[2], pa.bool_()))
+            at = 0
+            for some in text_slices(b.column(b.schema.get_field_index(text_col)).fill_null(""), CHARS):
+                yield b.slice(at, len(some)).filter(pa.array(shared.value.predict(some)[2], pa.bool_()))
+                at += len(some)
+                some = None
+                release_memory()
+            b = None
         release_memory()
 
     return docs.mapInArrow(each, docs.schema)

@@ -96,7 +96,7 @@ def numbered(sizes: DataFrame) -> DataFrame:
     part = F.shiftright("mid", 33)
     count = sorted((r["part"], r["n"]) for r in ordered.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect())  # a row a partition
     before = np.cumsum([0, *(n for _, n in count)])
-    offsets = sizes.sparkSession.createDataFrame([(p, int(b)) for (p, _), b in zip(count, before, strict=False)], "part long, before long")
+    offsets = sizes.sparkSession.createDataFrame(pa.table({"part": pa.array([p for p, _ in count], pa.int64()), "before": pa.array(before[: len(count)], pa.int64())}))
     return ordered.withColumn("part", part).join(offsets, "part").select("source", "source_size", (F.col("before") + F.col("mid").bitwiseAND((1 << 33) - 1)).alias("sid"))
 
 
@@ -104,7 +104,7 @@ def tree_draws(spark, full: np.ndarray, drawn: np.ndarray, left: np.ndarray, blo
     """DRAWS of sources with so many draws of full epochs, and blocks drawn and left of the last. passed: the tree left this block."""
     n, quotas = len(blocks), np.concatenate([full, drawn, left])
     total = int(quotas.sum())
-    parts = [(a, b, q.tolist(), s.tolist()) for a, b, q, s in split(quotas, np.zeros_like(quotas), (0, shards), shards, total, seed, -(-shards // TOP))] if n else []
+    parts = list(split(quotas, np.zeros_like(quotas), (0, shards), shards, total, seed, -(-shards // TOP))) if n else []
     shared = spark.sparkContext.broadcast((full, blocks))
 
     def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,7 +122,10 @@ def tree_draws(spark, full: np.ndarray, drawn: np.ndarray, left: np.ndarray, blo
                         passed = (np.arange(pool[sid]) >= own[n + sid]).astype(np.int32)
                         yield _draws(sid, permuted(rank, int(wide[sid]), (seed, sid, 1)), np.full(len(rank), whole[sid] // wide[sid]), shard, rank, passed)
 
-    rows = spark.createDataFrame(parts, "a int, b int, q array<long>, s array<long>").repartition(max(1, len(parts)))
+    kinds = {"a": pa.int32(), "b": pa.int32(), "q": pa.list_(pa.int64()), "s": pa.list_(pa.int64())}
+    # as Arrow: rows of Python objects would start RDD workers on the executors, which stay
+    table = pa.table({c: pa.array([x[k] for x in parts], kind) for k, (c, kind) in enumerate(kinds.items())})
+    rows = spark.createDataFrame(table).repartition(max(1, len(parts)))
     return written(rows.mapInArrow(leaves, DRAWS), "tree")
 
 

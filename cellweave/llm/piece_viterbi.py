@@ -37,9 +37,9 @@ from .arrow import release_memory, text_slices
 BLANK = "▁"
 MARKS = ".,;:!?\n"
 #: A worker keeps so many judged pairs of pieces; texts encoded at once hold about so many characters.
-KEPT_PAIRS, CHARS = 500_000, 1 << 22
+KEPT_PAIRS, CHARS = 500_000, 1 << 20
 #: Symbols of a lane, in two classes of length, and lanes searched at once.
-WIDTHS, LANES = (16, 64), 16_384
+WIDTHS, LANES = (16, 64), 4096
 #: Odd multiplier that spreads keys over a table.
 SPREAD = 0x9E3779B97F4A7C15
 SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("ids_crc32", T.LongType()), T.StructField("lossless", T.BooleanType())])
@@ -99,6 +99,11 @@ class Pieces:
             propose(left)
         return [x for x in parts if x is not None]
 
+    def agree(self, a: int, b: int) -> bool:
+        """Whether byte-pair merging of two pieces' symbols gives the same two pieces."""
+        x, y = self.text[a], self.text[b]
+        return x + y not in self.ids and self.merged(x + y) == [x, y]
+
 
 class Table:
     """Whole numbers from 0 by keys from 0, found many at a time (open addressing)."""
@@ -238,11 +243,10 @@ class Search:
         self.at, self.root, self.nodes, self.tail, self.tail_at = 0, 0, {0: [0, -1, 0.0, []]}, "", 0
 
     def agrees(self, a: int, b: int) -> bool:
-        """Whether byte-pair merging of two pieces' symbols gives the same two pieces."""
+        """Whether one piece may follow another, kept for the stream."""
         if len(self.pairs) >= KEPT_PAIRS:
             self.pairs.clear()
-        x, y = self.p.text[a], self.p.text[b]
-        known = self.pairs[a << 32 | b] = x + y not in self.p.ids and self.p.merged(x + y) == [x, y]
+        known = self.pairs[a << 32 | b] = self.p.agree(a, b)
         return known
 
     def feed(self, text: str, last: bool = False) -> list[int]:
@@ -417,7 +421,7 @@ class Codec:
             least = width
             for k in range(0, len(some), LANES):
                 part = some[k : k + LANES]
-                n, ids = self.lanes.search([words[i] for i in part.tolist()], self.search.agrees)
+                n, ids = self.lanes.search([words[i] for i in part.tolist()], self.p.agree)
                 lens[part], first[part] = n, total + np.cumsum(n) - n
                 made.append(ids)
                 total += len(ids)
@@ -465,6 +469,9 @@ def encode_documents(docs: DataFrame, model: str, kind: str = "bpe", id_col: str
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([doc_ids.slice(at, len(some)), pa.array(sizes), lists, crcs, pa.array(same, pa.bool_())], names=SCHEMA.names)
                 at += len(some)
+                some = sizes = flat = ends = parts = same = crcs = lists = None
+                release_memory()
+            b = doc_ids = texts = None
         release_memory()
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(each, SCHEMA)

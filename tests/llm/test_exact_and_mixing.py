@@ -165,3 +165,13 @@ def test_draws_are_disjoint_and_quotas_exact(spark):
 def test_permuted_is_a_permutation():
     for size in (1, 2, 3, 5, 64, 1000):
         assert sorted(permuted(np.arange(size), size, (1, 2)).tolist()) == list(range(size))
+
+
+def test_mixing_starts_no_workers_for_rows_of_objects(spark, monkeypatch):
+    def refuse(self, *rows, **more):
+        raise AssertionError("rows of Python objects")
+
+    table = docs(spark, [(i, "a b c " * (1 + i % 5), f"s{i % 3}") for i in range(60)])
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", refuse)
+    assert mix_documents(table).count() > 0
+    assert mix_documents(table.limit(0)).count() == 0

@@ -1,10 +1,12 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
@@ -12,7 +14,7 @@ from hypothesis import strategies as st
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-from cellweave.llm import language_id, piece_viterbi, secret_scan, token_files
+from cellweave.llm import arrow, language_id, piece_viterbi, secret_scan, token_files
 
 from .helpers import docs, rows
 
@@ -263,3 +265,37 @@ def test_language_scores_match_a_loop_over_subwords():
     for text, l, s in zip(texts, lang, found):
         assert l == score(text)[0] and abs(s - score(text)[1]) < 1e-4
     assert model.predict(["", "12 !"])[0] == ["und", "und"]
+
+
+def test_ordinary_words_keep_no_pairs_for_the_stream(codec):
+    own = piece_viterbi.Codec(PIECES)
+    texts = pq.read_table("/root/testdata/sf0.001/documents.parquet")["text"].to_pylist()
+    words = [" ".join(w for w in (t or "").split() if len(w) < 16) for t in texts]
+    assert own.encode_many(words)[1].tolist() == codec.encode_many(words)[1].tolist()
+    assert own.lanes.pairs.size > 1000 and len(own.search.pairs) < 100
+
+
+def test_encoding_holds_few_texts_at_once(codec):
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet")["text"].to_pylist()
+    want = codec.encode_many([t or "" for t in texts])[1].tolist()
+    tracemalloc.start()
+    got = []
+    for some in arrow.text_slices(pa.array([t or "" for t in texts] * 3), piece_viterbi.CHARS):
+        got.append(codec.encode_many(some)[1].astype("<i4"))
+    most = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    assert np.concatenate(got).tolist() == want * 3 and most < 50
+
+
+class FewTexts:
+    """Accepts texts that start with a; refuses many at once."""
+
+    def predict(self, texts):
+        assert sum(map(len, texts)) < 2 << 20
+        return [], [], [t[:1] == "a" for t in texts]
+
+
+def test_languages_are_judged_on_few_texts_at_once(spark):
+    table = spark.createDataFrame([(i, None if i % 7 == 0 else "ab"[i % 2] * 10_000) for i in range(700)], "doc_id long, text string").coalesce(1)
+    got = sorted(r["doc_id"] for r in language_id.accepted_documents(table, FewTexts()).select("doc_id").collect())
+    assert got == [i for i in range(700) if i % 7 and i % 2 == 0]
