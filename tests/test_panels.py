@@ -1,5 +1,7 @@
 """Checks, projections by products of rows, bootstrap intervals and rows for figures."""
 
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.errors import PySparkException
@@ -82,6 +84,34 @@ def test_blocks_of_a_correlation_map(spark, monkeypatch):
     assert [r["r"] for r in stats.correlation_map(left.where("id = 'none'"), right.limit(1)).collect()] == [None]
 
 
+def test_correlation_map_of_a_table_with_itself(spark, monkeypatch):
+    monkeypatch.setattr(stats, "BLOCK", 3)
+    rng = np.random.default_rng(9)
+    x = {f"x{i}": rng.normal(size=5) for i in range(16)} | {"flat": np.full(5, 0.1)}
+    rows = [*((k, v.tolist()) for k, v in x.items()), ("x1", x["x1"].tolist()), ("none", None), ("hole", [1.0, None, 2.0, 3.0, 5.0]), (None, x["x2"].tolist())]
+    table = spark.createDataFrame(rows, "id string, vector array<double>")
+    made = stats.correlation_map(table, table)
+    got = [tuple(r) for r in made.collect()]
+    assert Counter(g[:2] for g in got) == Counter((a, b) for a, _ in rows for b, _ in rows)
+    x[None] = x["x2"]
+    both = {g[:2]: g[2] for g in got}
+    for (a, b), r in both.items():
+        assert (r is None) == bool({a, b} & {"flat", "none", "hole"})
+        assert r is None or r == pytest.approx(np.corrcoef(x[a], x[b])[0, 1], abs=1e-9) and r == pytest.approx(both[b, a], abs=1e-15)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Generate" not in plan
+
+
+def test_written_size_of_a_correlation_map(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(stats, "BLOCK", 256)
+    n = 2048
+    vectors = np.random.default_rng(10).normal(size=(n, 16))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "id long, vector array<double>")
+    stats.correlation_map(table, table).write.parquet(out := str(tmp_path / "map"))
+    assert spark.read.parquet(out).count() == n * n
+    assert sum(p.stat().st_size for p in (tmp_path / "map").glob("*.parquet")) < 6.5 * n * n  # 8.2 where each r is stored for both ways
+
+
 def test_walks_of_a_tree(spark):
     linkage = spark.createDataFrame([(0, 0, 1, 0.5), (1, 2, 3, 0.7), (2, 4, 5, 1.0)], "step long, left long, right long, distance double")
     got = {r["node"]: (r["dfs"], r["bfs"]) for r in graph.tree_order(graph.linkage_edges(linkage)).collect()}
